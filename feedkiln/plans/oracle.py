@@ -176,7 +176,8 @@ from events
 """,
     "unnest_records": """
 select l_orderkey,
-       cast(row_number() over (partition by l_orderkey order by l_linenumber) - 1 as bigint) as pos,
+       cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity,
+            l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 as bigint) as pos,
        cast(count(*) over (partition by l_orderkey) as bigint) as record_count,
        l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate
 from lineitem
