@@ -134,12 +134,11 @@ def migrate_state_json(raw: DataFrame, col: str = "state_json") -> DataFrame:
     by_page = raw.select(F.try_variant_get(v, "$.last_loaded_at", "string").alias("last_loaded_at"),
                          F.explode(pages).alias("page_id", "_posts"))
     rows = by_page.select("last_loaded_at", "page_id", F.explode("_posts").alias("post_id", "_v"))
-    k = F.schema_of_variant(F.col("_v"))
-    legacy = k == "STRING"
-    created = F.when(legacy, F.try_variant_get(F.col("_v"), "$", "string")).otherwise(
-        F.try_variant_get(F.col("_v"), "$.created_time", "string"))
+    sc = V.Scope()
+    legacy = sc.kind("_v", "$") == "STRING"
+    created = F.when(legacy, sc.get("_v", "$", "string")).otherwise(sc.get("_v", "$.created_time", "string"))
     cnt = lambda c: F.when(legacy, F.lit(0).cast("bigint")).otherwise(
-        F.coalesce(V.long_field(F.col("_v"), f"$.{c}", c)[0], F.lit(0).cast("bigint")))
-    return rows.select(V.string_to_ts(F.col("last_loaded_at")).alias("last_loaded_at"),
-                       "page_id", "post_id", V.string_to_ts(created).alias("created_time"),
-                       *[cnt(c).alias(c) for c in STATE_COUNTERS])
+        F.coalesce(V.long_field(sc, "_v", f"$.{c}", c)[0], F.lit(0).cast("bigint")))
+    return sc.apply(rows).select(V.string_to_ts(F.col("last_loaded_at")).alias("last_loaded_at"),
+                                 "page_id", "post_id", V.string_to_ts(created).alias("created_time"),
+                                 *[cnt(c).alias(c) for c in STATE_COUNTERS])

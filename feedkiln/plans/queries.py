@@ -53,11 +53,11 @@ def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_json_extract_default(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events")
-    v = F.try_parse_json(F.col("props"))
-    k, k_reason = V.long_field(v, "$.k", "k")
-    m, _ = V.long_field(v, "$.m", "m", default=0)
-    return ev.select("event_id", k.alias("k"), m.alias("m_default"), k_reason.alias("k_reason"))
+    ev = table(spark, d, "events").select("event_id", F.try_parse_json(F.col("props")).alias("v"))
+    sc = V.Scope()
+    k, k_reason = V.long_field(sc, "v", "$.k", "k")
+    m, _ = V.long_field(sc, "v", "$.m", "m", default=0)
+    return sc.apply(ev).select("event_id", k.alias("k"), m.alias("m_default"), k_reason.alias("k_reason"))
 
 
 def q_surrogate_key(spark: SparkSession, d: str) -> DataFrame:
@@ -259,18 +259,18 @@ def q_time_range_reject(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events")
-    v = F.try_parse_json(F.col("props"))
-    _, k_reason = V.long_field(v, "$.k", "k", default=None)
+    ev = table(spark, d, "events").select("event_id", "ts", "value", F.try_parse_json(F.col("props")).alias("v"))
+    sc = V.Scope()
+    _, k_reason = V.long_field(sc, "v", "$.k", "k", default=None)
     reason = V.first_reason(
         F.when(F.col("event_id").isNull(), F.lit("missing_pk")),
         F.when(F.col("ts").isNull(), F.lit("missing:ts")),
         T.time_range_reason(F.col("ts"), "2024-01-01 00:00:00", RUN_TS, "ts"),
-        F.when(v.isNull(), F.lit("malformed_json:props")),
-        F.when(V.kind(v, "$.k") == "ABSENT", F.lit("missing:k")),
+        F.when(F.col("v").isNull(), F.lit("malformed_json:props")),
+        F.when(sc.kind("v", "$.k") == "ABSENT", F.lit("missing:k")),
         k_reason,
         F.when(F.col("value") < 0, F.lit("negative:value")))
-    return ev.select("event_id", reason.alias("rejection_reason"))
+    return sc.apply(ev).select("event_id", reason.alias("rejection_reason"))
 
 
 # ---------------------------------------------------------------- text
@@ -355,7 +355,9 @@ def q_foreign_language(spark: SparkSession, d: str) -> DataFrame:
 def q_language_detect(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     labelled = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi")
-    grams = language.doc_grams(docs, "doc_id", "text")
+    session.checkpoint_root(spark)
+    # the per-document grams feed both the profile and the detection: write once
+    grams = language.doc_grams(docs, "doc_id", "text").checkpoint(eager=True)
     profile, floors = language.build_profile(grams, labelled, "doc_id", "lang")
     todo = grams.join(labelled.select("doc_id"), "doc_id", "left_anti")
     det = language.detect(todo, profile, floors, "doc_id", "lang")
