@@ -139,6 +139,7 @@ def migrate_state_json(raw: DataFrame, col: str = "state_json") -> DataFrame:
     created = F.when(legacy, sc.get("_v", "$", "string")).otherwise(sc.get("_v", "$.created_time", "string"))
     cnt = lambda c: F.when(legacy, F.lit(0).cast("bigint")).otherwise(
         F.coalesce(V.long_field(sc, "_v", f"$.{c}", c)[0], F.lit(0).cast("bigint")))
+    counters = [cnt(c).alias(c) for c in STATE_COUNTERS]  # registers helpers before apply
     return sc.apply(rows).select(V.string_to_ts(F.col("last_loaded_at")).alias("last_loaded_at"),
                                  "page_id", "post_id", V.string_to_ts(created).alias("created_time"),
-                                 *[cnt(c).alias(c) for c in STATE_COUNTERS])
+                                 *counters)
