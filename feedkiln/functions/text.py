@@ -172,3 +172,11 @@ def flags_csv(flags: dict[str, Column]) -> Column:
     """JS-6: comma-separated names of the true flags, NULL when none."""
     arr = F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in flags.items()]))
     return F.nullif(F.concat_ws(",", arr), F.lit(""))
+
+
+def repair_latin1_mojibake(c: Column) -> Column:
+    """CLN-9 (limited): text that was UTF-8 read as Latin-1 (``Ã©`` for ``é``)
+    is re-encoded and decoded once; anything that does not round-trip stays."""
+    fixed = F.try_validate_utf8(F.decode(F.encode(c, "ISO-8859-1"), "UTF-8"))
+    suspicious = c.rlike("[ÂÃ][\u0080-¿]")
+    return F.when(suspicious & fixed.isNotNull() & ~fixed.contains("�"), fixed).otherwise(c)

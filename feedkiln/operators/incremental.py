@@ -143,3 +143,28 @@ def migrate_state_json(raw: DataFrame, col: str = "state_json") -> DataFrame:
     return sc.apply(rows).select(V.string_to_ts(F.col("last_loaded_at")).alias("last_loaded_at"),
                                  "page_id", "post_id", V.string_to_ts(created).alias("created_time"),
                                  *counters)
+
+
+def post_ids_since(envelopes: DataFrame, since: str, exclude: DataFrame | None = None) -> DataFrame:
+    """SET-1 + FIL-5 + JOIN-4 + SRT-1: distinct post ids from landed post
+    envelopes whose ``meta.run_timestamp`` (naive = UTC, missing -> file
+    skipped) is at or after ``since``, minus ``exclude``, with the position of
+    the first occurrence in path order (``first_path``, ``first_pos``)."""
+    run = V.string_to_ts(F.try_variant_get(F.col("meta"), "$.run_timestamp", "string"))
+    files = envelopes.filter(F.col("file_error").isNull() & run.isNotNull() &
+                             (run >= F.lit(since).cast("timestamp")))
+    recs = files.select("path", F.posexplode("records").alias("pos", "record"))
+    ids = recs.select(F.try_variant_get("record", "$.id", "string").alias("post_id"), "path", "pos")
+    ids = ids.filter(F.col("post_id").isNotNull() & (F.length("post_id") > 0))
+    return first_seen_ids(ids, "post_id", ["path", "pos"], exclude)
+
+
+def exclude_moderated(df: DataFrame, status: str = "moderation_status",
+                      excluded: tuple = ("rejected", "heldForReview")) -> DataFrame:
+    """FIL-11: drop rows held or rejected by moderation (NULL status stays)."""
+    return df.filter(F.col(status).isNull() | ~F.col(status).isin(*excluded))
+
+
+def needs_reprocess(df: DataFrame, current_version: str, version: str = "cleaning_version") -> DataFrame:
+    """FIL-13: rows cleaned by an older (or no) rule version."""
+    return df.filter(F.col(version).isNull() | (F.col(version) != F.lit(current_version)))
