@@ -19,6 +19,7 @@ from feedkiln.functions import timefn as T
 from feedkiln.functions import variant as V
 from feedkiln.operators import canonical, checks, incremental, language, marts, merge, quality, scoring
 from feedkiln.operators.dedup import latest_per_key
+from feedkiln.operators.partitioning import spread
 from feedkiln.sources import landing
 from feedkiln.sources.tables import table
 
@@ -276,20 +277,19 @@ def q_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- text
 
 def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    c = TX.strip_ends(TX.collapse_ws(F.col("text")))
-    return docs.select("doc_id", c.alias("text_cleaned"), F.length(c).alias("n_chars_cleaned"))
+    docs = spread(table(spark, d, "documents")).select(
+        "doc_id", TX.strip_ends(TX.collapse_ws(F.col("text"))).alias("text_cleaned"))
+    return docs.select("doc_id", "text_cleaned", F.length("text_cleaned").alias("n_chars_cleaned"))
 
 
 def q_null_if_empty(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations")
-    c = TX.clean_ws(F.col("text"))
-    return conv.select("conv_id", "turn", c.alias("text_or_null"), TX.has_text(c).alias("has_text"))
+    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    return conv.select("conv_id", "turn", F.col("c").alias("text_or_null"), TX.has_text(F.col("c")).alias("has_text"))
 
 
 def q_truncate_text(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    c = TX.clean_ws(F.col("text"))
+    docs = spread(table(spark, d, "documents")).select("doc_id", TX.clean_ws(F.col("text")).alias("c"))
+    c = F.col("c")
     return docs.select("doc_id", TX.truncate(c).alias("text_truncated"), TX.was_truncated(c).alias("was_truncated"))
 
 
@@ -316,8 +316,8 @@ def q_nfc_normalise(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_too_short(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations")
-    c = TX.clean_ws(F.col("text"))
+    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    c = F.col("c")
     return conv.select("conv_id", "turn", TX.word_count(c).alias("n_words"), TX.too_short(c).alias("too_short"))
 
 
@@ -327,9 +327,8 @@ def q_url_only(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_quality_flags(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations")
-    c = TX.clean_ws(F.col("text"))
-    return conv.select("conv_id", "turn", TX.flags_csv(quality.text_flags(c)).alias("quality_flag"))
+    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    return conv.select("conv_id", "turn", TX.flags_csv(quality.text_flags(F.col("c"))).alias("quality_flag"))
 
 
 # ---------------------------------------------------------------- windows
@@ -395,13 +394,18 @@ def q_reaction_flag(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _document_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Documents with cleaned text, ``has_text`` and ``quality_flag``."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    dup = docs.groupBy("text").agg(F.count(F.lit(1)).alias("_copies"))
-    c = TX.clean_ws(F.col("text"))
-    flags = quality.text_flags(c)
+    """Documents with cleaned text, ``has_text`` and ``quality_flag``.
+
+    The cleaned text is a column of its own (the flags read it, they do not
+    re-run the regexps), and duplicates are counted on a SHA-256 of the text,
+    so the shuffle carries 32 bytes per document instead of the document.
+    """
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
+    staged = docs.select("doc_id", TX.clean_ws(F.col("text")).alias("c"), F.sha2("text", 256).alias("h"))
+    dup = staged.groupBy("h").agg(F.count(F.lit(1)).alias("_copies"))
+    flags = quality.text_flags(F.col("c"))
     flags["duplicate_text"] = F.col("_copies") > 1
-    return docs.join(dup, "text").select("doc_id", TX.has_text(c).alias("has_text"),
+    return staged.join(dup, "h").select("doc_id", TX.has_text(F.col("c")).alias("has_text"),
                                         TX.flags_csv(flags).alias("quality_flag"))
 
 
@@ -462,7 +466,7 @@ def q_current_model(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_score_batch(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
     s = scoring.score_batches(docs.select("doc_id", TX.clean_ws(F.col("text")).alias("text")), "doc_id", "text")
     return s.withColumn("is_accepted", scoring.is_accepted(F.col("confidence_score")))
 
