@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # collect_list (envelope batches) runs in the object hash aggregate, which
+    # by default falls back to sort-based aggregation after 128 keys per task;
+    # 64 k keys of small record lists is a few tens of MB per task
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
