@@ -46,7 +46,9 @@ def build_profile(grams: DataFrame, labels: DataFrame, id_col: str, lang_col: st
     vocab = per.select("gram").distinct().agg(F.count(F.lit(1)).alias("v"))
     tot = per.groupBy(lang_col).agg(F.sum("c").alias("n"))
     norm = tot.crossJoin(F.broadcast(vocab)).select(lang_col, (F.col("n") + F.col("v")).alias("den"))
-    profile = per.join(norm, lang_col).select(lang_col, "gram", F.log((F.col("c") + 1) / F.col("den")).alias("logp"))
+    # one row per language: broadcast, so the profile is not shuffled by language
+    profile = per.join(F.broadcast(norm), lang_col).select(
+        lang_col, "gram", F.log((F.col("c") + 1) / F.col("den")).alias("logp"))
     floors = norm.select(lang_col, F.log(1 / F.col("den")).alias("floor"))
     return profile, floors
 
