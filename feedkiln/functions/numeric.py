@@ -15,8 +15,8 @@ def negative_to_null(c: Column) -> Column:
 
 
 def cap_int(c: Column) -> Column:
-    """CLN-14: cap at INT max."""
-    return F.least(c, F.lit(INT_MAX).cast("bigint"))
+    """CLN-14: cap at INT max (``least`` skips NULLs, so NULL is kept explicitly)."""
+    return F.when(c.isNotNull(), F.least(c, F.lit(INT_MAX).cast("bigint")))
 
 
 def was_capped(c: Column) -> Column:

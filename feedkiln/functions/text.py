@@ -177,6 +177,8 @@ def flags_csv(flags: dict[str, Column]) -> Column:
 def repair_latin1_mojibake(c: Column) -> Column:
     """CLN-9 (limited): text that was UTF-8 read as Latin-1 (``Ã©`` for ``é``)
     is re-encoded and decoded once; anything that does not round-trip stays."""
-    fixed = F.try_validate_utf8(F.decode(F.encode(c, "ISO-8859-1"), "UTF-8"))
-    suspicious = c.rlike("[ÂÃ][\u0080-¿]")
-    return F.when(suspicious & fixed.isNotNull() & ~fixed.contains("�"), fixed).otherwise(c)
+    suspicious = c.rlike("[ÂÃ][\u0080-¿]") & c.rlike(r"^[\x{0000}-\x{00FF}]*$")
+    # Latin-1 bytes read back as UTF-8; binary -> string does not validate, the
+    # check does (NULL when the bytes are not UTF-8, and then the text stays)
+    fixed = F.try_validate_utf8(F.when(suspicious, F.encode(c, "ISO-8859-1").cast("string")))
+    return F.coalesce(fixed, c)
