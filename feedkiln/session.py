@@ -68,7 +68,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     The cluster names it; only when it is unset (local tests) do we pick one.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Connect session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
