@@ -243,3 +243,23 @@ def test_overlay_and_latest(spark):
     assert rows(overlay(prev, new, ["k"]), "k", "v") == [(1, "new"), (2, "keep")]
     df = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (1, 2, "c")], "k int, t int, v string")
     assert rows(latest_per_key(df, ["k"], ["t", "v"]), "v") == [("c",)]
+
+
+def test_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
+    schema = "k long, v string"
+    bt = merge.BucketedTable(spark, str(tmp_path / "bt"), spark.createDataFrame([], schema).schema, ["k"], buckets=8)
+    bt.create_if_missing()
+    assert bt.read().count() == 0
+    base = spark.createDataFrame([(i, "a") for i in range(200)], schema)
+    assert bt.upsert(base) == 200
+    first = bt.manifest()
+    assert len(first) == 8 and set(first.values()) == {1}
+    upd = spark.createDataFrame([(3, "b"), (1000, "new")], schema)
+    bt.upsert(upd)
+    second = bt.manifest()
+    touched = {b for b, v in second.items() if v == 2}
+    assert 1 <= len(touched) <= 2 and all(second[b] == 1 for b in second if b not in touched)
+    got = {r.k: r.v for r in bt.read().collect()}
+    assert len(got) == 201 and got[3] == "b" and got[1000] == "new" and got[4] == "a"
+    bt.upsert(upd)  # idempotent
+    assert {r.k: r.v for r in bt.read().collect()} == got
