@@ -45,6 +45,30 @@ def range_count(df: DataFrame, keys: list[str], ts: str, preceding_s: int, follo
     return counted.filter(F.col("_d") == 0).drop("_t", "_b", "_d", "_home")
 
 
+def has_neighbour(df: DataFrame, keys: list[str], ts: str, window_s: int, out: str) -> DataFrame:
+    """``out`` = another row with the same ``keys`` lies within +-``window_s``
+    (inclusive) of this row's time.
+
+    Exact from per-(key, bucket) aggregates with bucket width ``window_s``: a
+    row that shares its bucket has a neighbour closer than ``window_s``; a row
+    alone in its bucket only needs the previous bucket's latest time and the
+    next bucket's earliest time. The aggregates are partial (a hot key is
+    pre-combined per task); rows are shuffled once, for the join back, which
+    AQE splits when a (key, bucket) is hot.
+    """
+    w = window_s * _MICROS
+    base = df.withColumn("_t", epoch_micros(F.col(ts))).withColumn("_b", F.floor(F.col("_t") / F.lit(w)).cast("long"))
+    agg = base.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_lo"),
+                                        F.max("_t").alias("_hi"))
+    prev = agg.select(*keys, (F.col("_b") + 1).alias("_b"), F.col("_hi").alias("_prev_hi"))
+    nxt = agg.select(*keys, (F.col("_b") - 1).alias("_b"), F.col("_lo").alias("_next_lo"))
+    info = (agg.select(*keys, "_b", "_n").join(prev, [*keys, "_b"], "left").join(nxt, [*keys, "_b"], "left"))
+    j = base.join(info, [*keys, "_b"], "left")
+    flag = ((F.col("_n") > 1) | (F.col("_prev_hi") >= F.col("_t") - F.lit(w)) |
+            (F.col("_next_lo") <= F.col("_t") + F.lit(w)))
+    return j.withColumn(out, F.coalesce(flag, F.lit(False))).drop("_t", "_b", "_n", "_prev_hi", "_next_lo")
+
+
 def spam_suspected(df: DataFrame, post: str, text: str, ts: str,
                    window_s: int = SPAM_WINDOW_SECONDS, out: str = "spam_suspected") -> DataFrame:
     """WIN-2: another row with the same post and the same cleaned text within
@@ -52,8 +76,7 @@ def spam_suspected(df: DataFrame, post: str, text: str, ts: str,
     kept out of the windows."""
     with_text = df.filter(F.col(text).isNotNull())
     no_text = df.filter(F.col(text).isNull())
-    flagged = (range_count(with_text, [post, text], ts, window_s, window_s, out="_n")
-               .withColumn(out, F.col("_n") > 1).drop("_n"))
+    flagged = has_neighbour(with_text, [post, text], ts, window_s, out)
     return flagged.unionByName(no_text.withColumn(out, F.lit(False)))
 
 

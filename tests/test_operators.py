@@ -263,3 +263,16 @@ def test_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
     assert len(got) == 201 and got[3] == "b" and got[1000] == "new" and got[4] == "a"
     bt.upsert(upd)  # idempotent
     assert {r.k: r.v for r in bt.read().collect()} == got
+
+
+def test_has_neighbour_matches_bruteforce(spark):
+    import random
+    rnd = random.Random(11)
+    data = [(i, rnd.choice("abc"), T0 + dt.timedelta(seconds=rnd.randint(0, 40 * 3600))) for i in range(400)]
+    data.append((999, "a", data[0][2] + dt.timedelta(hours=5)))
+    df = spark.createDataFrame(data, "id int, k string, ts timestamp")
+    got = dict(rows(quality.has_neighbour(df, ["k"], "ts", 3600, "nb"), "id", "nb"))
+    w = dt.timedelta(seconds=3600)
+    for i, k, t in data:
+        want = any(j != i and k2 == k and abs(t2 - t) <= w for j, k2, t2 in data)
+        assert got[i] == want, (i, k, t)
