@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +51,33 @@ def get_session(master: str | None = None, app: str = "feedkiln",
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedkiln`` importable on every Python worker (``addPyFile`` of a
+    zip of the package, once per application). Pandas UDFs and
+    ``mapInPandas`` functions are pickled by module reference, so executors
+    need the package itself, not only the driver."""
+    try:
+        sc = spark.sparkContext
+        app = sc.applicationId
+    except Exception:  # Connect session: artifacts are the client's business
+        return
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="feedkiln-pyfiles-"), "feedkiln.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session someone else built."""
     for k, v in DEFAULT_CONF.items():
@@ -60,6 +88,7 @@ def configure(spark: SparkSession) -> SparkSession:
         except Exception:  # static conf on an existing session
             pass
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
