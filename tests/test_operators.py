@@ -276,3 +276,17 @@ def test_has_neighbour_matches_bruteforce(spark):
     for i, k, t in data:
         want = any(j != i and k2 == k and abs(t2 - t) <= w for j, k2, t2 in data)
         assert got[i] == want, (i, k, t)
+
+
+def test_incremental_model_and_page_dimension(spark):
+    tgt = spark.createDataFrame([(1, "a", T0)], "k int, v string, ts timestamp")
+    src = spark.createDataFrame([(1, "old", T0), (1, "b", T0 + dt.timedelta(hours=1)), (2, "c", T0 + dt.timedelta(hours=2))],
+                                "k int, v string, ts timestamp")
+    out = merge.incremental_model(tgt, src.filter(F.col("v") != "old"), ["k"], "ts", "ts")
+    assert rows(out, "k", "v") == [(1, "b"), (2, "c")]
+    posts = spark.createDataFrame([("facebook", "p", T0), ("facebook", "p", T0 + dt.timedelta(days=1))],
+                                  "platform string, page_id string, ingested_at timestamp")
+    old = marts.page_dimension(posts.limit(1))
+    new = marts.page_dimension(spark.createDataFrame([("facebook", "p", T0 + dt.timedelta(days=3))], posts.schema))
+    m = marts.merge_page_dimension(old, new).collect()[0]
+    assert m.source_id == "facebook_p" and m.first_ingested_at == T0 and m.last_ingested_at == T0 + dt.timedelta(days=3)
