@@ -5,9 +5,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate
-from feedkiln.llm.common import read
+from feedkiln.llm import byte_bpe, decontaminate, simhash_bk, toxicity_gbt
+from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -22,6 +23,19 @@ def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_byte_bpe)}
+def op7_simhash_bk_tree(spark, sf_dir: str) -> DataFrame:
+    """SimHash groups of all documents: 3-word shingles, at most 3 bits apart."""
+    return simhash_bk.groups(read(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
+def op10_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents, learned from four of five folds."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity_gbt.fit(docs, read(spark, sf_dir, "labels"), folds=5, held_out=0)
+    return toxicity_gbt.score(docs, model).select(
+        "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_byte_bpe, op7_simhash_bk_tree, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
