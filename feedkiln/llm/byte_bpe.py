@@ -260,13 +260,17 @@ def _encode(batches: Iterator[pa.RecordBatch], text: str, ident: str, shared) ->
             size = np.cumsum([0, *(len(x) // 4 for x in ids)])
             flat = pa.py_buffer(b"".join(ids))
             values = pa.Array.from_buffers(pa.uint32(), int(size[-1]), [None, flat]).cast(pa.int32())
-            yield pa.record_batch([part[ident], pa.ListArray.from_arrays(pa.array(size, pa.int32()), values)], names=[ident, "ids"])
+            decoded = pa.array([hashlib.sha256(v.decode(x)).hexdigest() for x in ids], pa.string())
+            yield pa.record_batch([part[ident], pa.ListArray.from_arrays(pa.array(size, pa.int32()), values), decoded],
+                                  names=[ident, "ids", "decoded_sha256"])
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """``ident`` and ``ids`` (array<int>), one row per document."""
+    """``ident``, ``ids`` (array<int>) and the digest of the bytes that they
+    decode to, one row per document."""
     shared = share(docs.sparkSession, rank_file, pattern)
-    schema = T.StructType([*fields(docs, ident), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
+    schema = T.StructType([*fields(docs, ident), T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+                           T.StructField("decoded_sha256", T.StringType())])
     return docs.select(ident, text).mapInArrow(lambda it: _encode(it, text, ident, shared), schema)
 
 

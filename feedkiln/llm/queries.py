@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate, simhash_bk, toxicity_gbt
+from feedkiln.llm import byte_bpe, decontaminate, line_dedup, simhash_bk, toxicity_gbt
 from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -23,6 +23,14 @@ def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """Documents after deleting later copies of repeated runs of lines."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = line_dedup.dedup_lines(docs, min_lines=2, min_chars=100, removed="n_removed")
+    left = F.coalesce(F.col("text"), F.lit(""))
+    return clean.select("doc_id", F.octet_length(left).cast("long").alias("n_bytes"), "n_removed", F.sha2(left, 256).alias("text_sha256"))
+
+
 def op7_simhash_bk_tree(spark, sf_dir: str) -> DataFrame:
     """SimHash groups of all documents: 3-word shingles, at most 3 bits apart."""
     return simhash_bk.groups(read(spark, sf_dir, "documents"), shingle=3, radius=3)
@@ -36,6 +44,25 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
         "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_byte_bpe, op7_simhash_bk_tree, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op6_line_dedup"] = r"""
+with raw as (select doc_id, text, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as p
+             from documents),
+line as (select doc_id, p, line, row_number() over (partition by doc_id order by p) as i from raw
+         where regexp_matches(line, '[^\x09-\x0D\x20]')),
+pair as (select doc_id, i, line, lead(line) over (partition by doc_id order by i) as next from line),
+run as (select doc_id, i from (select doc_id, i, row_number() over (partition by line, next order by doc_id, i) as k
+                               from pair where next is not null) where k > 1),
+single as (select doc_id, i from (select doc_id, i, row_number() over (partition by line order by doc_id, i) as k
+                                  from line where length(line) >= 100) where k > 1),
+gone as (select doc_id, i from run union select doc_id, i + 1 from run union select doc_id, i from single),
+gone_raw as (select doc_id, p from line join gone using (doc_id, i)),
+kept as (select raw.doc_id, string_agg(raw.line, chr(10) order by raw.p) as text
+         from raw left join gone_raw using (doc_id, p) where gone_raw.p is null group by raw.doc_id),
+n as (select doc_id, count(*) as n_removed from gone_raw group by doc_id)
+select d.doc_id, strlen(coalesce(kept.text, '')) as n_bytes, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as text_sha256
+from documents d left join kept using (doc_id) left join n using (doc_id)
+"""
