@@ -7,12 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate, line_dedup, simhash_bk, toxicity_gbt
+from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, line_dedup, simhash_bk, toxicity_gbt
 from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.9 or more among all embeddings, and their components."""
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """Windows of 10 item words found in the documents by suffix arrays."""
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
@@ -44,7 +49,7 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
         "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 
