@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, line_dedup, simhash_bk, toxicity_gbt
+from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, kd_shard, line_dedup, simhash_bk, toxicity_gbt
 from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,13 @@ def op1_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op2_kd_tree_sharding(spark, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes."""
+    placed = kd_shard.shard(read(spark, sf_dir, "documents"), ["doc_id", "n_chars", "source", "lang"], 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """Windows of 10 item words found in the documents by suffix arrays."""
     return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
@@ -49,7 +56,7 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
         "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 
