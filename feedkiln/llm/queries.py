@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, kd_shard, line_dedup, simhash_bk, toxicity_gbt
+from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, kd_shard, language_gru, line_dedup, simhash_bk, toxicity_gbt
 from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,14 @@ def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(read(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op5_language_id(spark, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three of four folds."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(crc("doc_id"), F.lit(4)) == 2
+    net = language_gru.fit(docs.filter(~held_out))
+    return language_gru.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "share")
+
+
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Documents after deleting later copies of repeated runs of lines."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,7 +64,8 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
         "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_simhash_bk_tree, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 
