@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkiln.llm import byte_bpe, decontaminate, embedding_dedup, kd_shard, language_gru, line_dedup, simhash_bk, sparse_suffix, toxicity_gbt
+from feedkiln.llm import (
+    byte_bpe, decontaminate, embedding_dedup, kd_shard, language_gru, line_dedup, pii_crf, simhash_bk, sparse_suffix, toxicity_gbt,
+)
 from feedkiln.llm.common import crc, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -61,6 +63,11 @@ def op8_sparse_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return sparse_suffix.report(read(spark, sf_dir, "documents"), min_words=50)
 
 
+def op9_pii_crf(spark, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: pattern spans and those of the field."""
+    return pii_crf.find(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     """Toxicity score of all documents, learned from four of five folds."""
     docs = read(spark, sf_dir, "documents")
@@ -70,7 +77,7 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_simhash_bk_tree, op8_sparse_suffix_dedup, op10_toxicity)}
+    op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_simhash_bk_tree, op8_sparse_suffix_dedup, op9_pii_crf, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 
