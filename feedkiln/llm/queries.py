@@ -77,7 +77,8 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup, op7_simhash_bk_tree, op8_sparse_suffix_dedup, op9_pii_crf, op10_toxicity)}
+    op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup,
+    op7_simhash_bk_tree, op8_sparse_suffix_dedup, op9_pii_crf, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
 
@@ -99,3 +100,57 @@ n as (select doc_id, count(*) as n_removed from gone_raw group by doc_id)
 select d.doc_id, strlen(coalesce(kept.text, '')) as n_bytes, coalesce(n_removed, 0) as n_removed, sha256(coalesce(kept.text, '')) as text_sha256
 from documents d left join kept using (doc_id) left join n using (doc_id)
 """
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')"
+
+ORACLE["op1_embedding_near_dedup"] = """
+with recursive good as (
+  select vec_id, embedding::double[] as v from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link as (select a.vec_id as u, b.vec_id as v from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+         where list_cosine_similarity(a.v, b.v) >= 0.9),
+reach as (select vec_id as u, vec_id as v from good union select r.u, l.v from reach r join link l on l.u = r.v),
+comp as (select u, min(v) as c from reach group by u),
+n as (select u, count(*) as n from link group by u)
+select e.vec_id, coalesce(n.n, 0) as n_links, coalesce(comp.c, e.vec_id) as component_id, coalesce(comp.c, e.vec_id) = e.vec_id as kept
+from embeddings e left join n on n.u = e.vec_id left join comp on comp.u = e.vec_id
+"""
+
+ORACLE["op3_benchmark_decontamination"] = f"""
+with d as (select doc_id, {_WORDS} as words from documents),
+item as (select cast(item_id as varchar) as item_id, {_WORDS} as words from benchmark where item_id is not null),
+iw as (select item_id, ip, k, array_to_string(list_slice(words, ip, ip + k - 1), ' ') as win
+       from (select item_id, words, least(len(words), 10) as k, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as ip
+             from item where len(words) > 0)),
+dw as (select doc_id, p, k, array_to_string(list_slice(words, p, p + k - 1), ' ') as win
+       from (select doc_id, words, k, unnest(range(1, len(words) - k + 2)) as p
+             from d, (select distinct k from iw) where len(words) >= k)),
+hit as (select distinct doc_id, p, item_id, ip, k from dw join iw using (k, win)),
+word as (select doc_id, count(*) as n_hit from (select distinct doc_id, unnest(range(p, p + k)) as p from hit) group by doc_id),
+found as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
+          from (select distinct doc_id, item_id from hit) group by doc_id),
+run as (select doc_id, max(ip) - min(ip) + min(k) as size from
+          (select *, ip - row_number() over (partition by doc_id, item_id, p - ip order by ip) as island from hit)
+        group by doc_id, item_id, p - ip, island),
+long as (select doc_id, max(size) as size from run group by doc_id)
+select d.doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated, coalesce(long.size, 0) as longest_match
+from d left join word using (doc_id) left join found using (doc_id) left join long using (doc_id)
+"""
+
+ORACLE["op8_sparse_suffix_dedup"] = f"""
+with d as (select doc_id, {_WORDS} as words from documents where doc_id is not null),
+win as (select doc_id, p, md5(array_to_string(list_slice(words, p, p + 49), ' ')) as h
+        from (select doc_id, words, unnest(range(1, len(words) - 48)) as p from d where len(words) >= 50)),
+flag as (select doc_id, p, row_number() over (partition by h order by doc_id, p) > 1 as later, count(*) over (partition by h) > 1 as rep from win),
+kind as (select doc_id, p, false as later from flag where rep union all select doc_id, p, true from flag where later),
+step as (select *, p - lag(p) over (partition by doc_id, later order by p) as gap from kind),
+isle as (select *, sum(case when gap is null or gap > 50 then 1 else 0 end) over (partition by doc_id, later order by p) as g from step),
+span as (select doc_id, later, min(p) - 1 as s, max(p) + 49 as e from isle group by doc_id, later, g)
+select doc_id, cast(sum(case when not later then e - s else 0 end) as bigint) as n_repeated,
+       cast(sum(case when later then e - s else 0 end) as bigint) as n_removed,
+       coalesce(string_agg(s || ':' || e, ',' order by s) filter (not later), '') as repeated,
+       coalesce(string_agg(s || ':' || e, ',' order by s) filter (later), '') as removed
+from span group by doc_id
+"""

@@ -118,7 +118,7 @@ def joined(row: np.ndarray, start: np.ndarray, min_words: int) -> tuple[np.ndarr
     new = np.ones(len(row), bool)
     new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(row)) - 1
+    last = np.append(first[1:], len(row))[: len(first)] - 1
     return row[first], start[first], start[last] + min_words
 
 
@@ -204,14 +204,15 @@ def report(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text:
             .agg(words(False).alias("n_repeated"), words(True).alias("n_removed"), listed(False).alias("repeated"), listed(True).alias("removed")))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], text: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, text):
             data, offsets = text_buffer(part[text])
             starts, ends = word_bounds(LOWER[data], offsets)
             begin = np.searchsorted(starts, offsets)
             out = []
-            for i, (t, gone) in enumerate(zip(part[text].to_pylist(), part["_gone"].to_pylist(), strict=True)):
+            # the last column holds the passages to cut
+            for i, (t, gone) in enumerate(zip(part[text].to_pylist(), part.column(part.num_columns - 1).to_pylist(), strict=True)):
                 if gone:
                     raw, at, keep = t.encode(), 0, []
                     for g in sorted(gone, key=lambda g: g["start"]):
@@ -219,7 +220,8 @@ def _cut(batches: Iterator[pa.RecordBatch], text: str, names: list[str]) -> Iter
                         at = int(ends[begin[i] + g["end"] - 1] - offsets[i])
                     t = b"".join([*keep, raw[at:]]).decode()
                 out.append(t)
-            yield pa.record_batch([pa.array(out, part.schema.field(c).type) if c == text else part[c] for c in names], names=names)
+            names = part.schema.names[:-1]
+            yield pa.record_batch([pa.array(out, part.schema.field(text).type) if c == text else part.column(k) for k, c in enumerate(names)], names=names)
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id",
@@ -227,6 +229,5 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
     """The documents without the later copies of repeated passages."""
     gone = (spans(docs, min_words, gram, text, ident, hot).filter("later").groupBy(F.col("doc").alias("_doc"))
             .agg(F.collect_list(F.struct("start", "end")).alias("_gone")))
-    names = docs.columns
-    return (docs.join(gone, docs[ident] == gone["_doc"], "left").drop("_doc")
-            .mapInArrow(lambda it: _cut(it, text, names), T.StructType(docs.schema.fields)))
+    return (docs.join(gone, docs[ident] == gone["_doc"], "left").select(*[docs[c] for c in docs.columns], gone["_gone"])
+            .mapInArrow(lambda it: _cut(it, text), T.StructType(docs.schema.fields)))
