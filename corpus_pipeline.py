@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from feedkiln import session
 from feedkiln.llm import byte_bpe, decontaminate, line_dedup, simhash_bk, toxicity_gbt
-from feedkiln.llm.common import read
+from feedkiln.llm.common import prepare, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the boosted trees score below 0.5."""
-    session.configure(spark)
+    prepare(spark)
     model = toxicity_gbt.fit(docs, read(spark, sf_dir, "labels"), folds=5, held_out=0)
     return toxicity_gbt.remove_toxic(docs, model, threshold=0.5)
 
@@ -26,7 +26,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go; a document that loses all its
     lines goes with them. ``n_chars`` follows the text."""
-    session.configure(spark)
+    prepare(spark)
     count = "_lines_removed"
     clean = line_dedup.dedup_lines(docs, min_lines=2, min_chars=100, removed=count)
     cut = F.col(count) > 0
@@ -37,19 +37,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each SimHash group."""
-    session.configure(spark)
+    prepare(spark)
     return simhash_bk.keep_first(docs, shingle=3, radius=3)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a 10-word passage of the benchmark."""
-    session.configure(spark)
+    prepare(spark)
     return decontaminate.remove_contaminated(docs, read(spark, sf_dir, "benchmark"), window=10)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the digest of what they decode to."""
-    session.configure(spark)
+    prepare(spark)
     encoded = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 

@@ -29,11 +29,11 @@ from pyspark.sql import types as T
 from feedkiln.llm.common import fields, ranges, slices
 
 #: Pieces of up to so many characters are kept with their ids, so many at most.
-KEEP_CHARS, KEEP_PIECES = 48, 400_000
+KEEP_CHARS, KEEP_PIECES = 48, 150_000
 #: Pieces of more bytes are merged one by one.
 LONG_BYTES = 512
 #: Bytes of text whose new pieces are merged together.
-MERGE_BYTES = 16 << 20
+MERGE_BYTES = 8 << 20
 
 
 class RankQueue:

@@ -16,7 +16,7 @@ from feedkiln import session
 
 #: Bytes of text that numpy code works on at once; a longer text is one slice
 #: of its own and is cut into pieces of this size at word boundaries.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Word bytes of the contract ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after A-Z was
 #: lower-cased: digits, a-z and every byte of a non-ASCII code point.
@@ -239,8 +239,19 @@ def fields(df: DataFrame, *names: str) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
-def read(spark, sf_dir: str, table: str) -> DataFrame:
+#: Settings of the operators: an Arrow batch holds a few MB however long the texts.
+CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.execution.arrow.maxBytesPerOutputBatch": str(16 << 20)}
+
+
+def prepare(spark) -> None:
+    """Session settings of the library and of these operators."""
     session.configure(spark)
+    for k, v in CONF.items():
+        spark.conf.set(k, v)
+
+
+def read(spark, sf_dir: str, table: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -35,7 +35,7 @@ from feedkiln.llm.common import LOWER, fields, ranges, slices, text_buffer, word
 MAX_DOCS, MAX_RUNS, MAX_LANGS = 4_000, 24_000, 64
 SEGMENT, HIDDEN, EPOCHS, BATCH, STEP = 24, 20, 14, 256, 4e-3
 #: Runs whose labels a worker keeps, and bytes of text worked on at once.
-KEEP, SLICE = 1_000_000, 16 << 20
+KEEP, SLICE = 500_000, 4 << 20
 
 LETTER = np.zeros(256, bool)
 LETTER[0x61:0x7B] = True

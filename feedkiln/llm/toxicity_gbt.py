@@ -41,6 +41,8 @@ MAX_ROWS, MAX_TERMS = 20_000, 4_000
 STRONG, WEAK = 24.0, 10.0
 PREFIXES = (3, 4, 5, 6, 7, 8)
 TREES, DEPTH, RATE, BINS, LEAF = 80, 3, 0.15, 32, 5
+#: Bytes of text that features are taken from at once.
+SLICE = 1 << 20
 #: Words between a lexicon hit and a second-person word.
 NEAR = 5
 
@@ -303,7 +305,7 @@ def _featured(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBa
     for batch in batches:
         fold = batch["fold"].to_numpy()
         for f in np.unique(fold):
-            for part in slices(batch.filter(pa.array(fold == f))):
+            for part in slices(batch.filter(pa.array(fold == f)), limit=SLICE):
                 x = features(part["text"], lexicons[int(f)])
                 yield pa.record_batch([part["fold"], part["toxic"], pa.array(list(x), pa.list_(pa.float64()))], names=["fold", "toxic", "x"])
 
@@ -337,7 +339,7 @@ def _score(batches: Iterator[pa.RecordBatch], text: str, ident: str, shared) ->
     terms, model = shared.value
     lexicon = Lexicon(terms)
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, SLICE):
             yield pa.record_batch([part[ident], pa.array(model.score(features(part[text], lexicon)))], names=[ident, "score"])
 
 
@@ -352,7 +354,7 @@ def _drop(batches: Iterator[pa.RecordBatch], text: str, shared, threshold: float
     terms, model = shared.value
     lexicon = Lexicon(terms)
     for batch in batches:
-        for part in slices(batch, text):
+        for part in slices(batch, text, SLICE):
             yield part.filter(pa.array(model.score(features(part[text], lexicon)) < threshold))
 
 
