@@ -29,7 +29,7 @@ EMOJI_CLASS = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}]"
 # Joiners and variation selectors: counted in neither numerator nor denominator.
 JOINER_CLASS = r"[\x{200D}\x{FE0E}\x{FE0F}]"
 # Zero-width and other invisible format/control characters (newline and tab kept).
-INVISIBLE_CLASS = r"[\x{0000}-\x{0008}\x{000B}\x{000C}\x{000E}-\x{001F}\x{007F}-\x{009F}\x{00AD}\x{200B}\x{200C}\x{200E}\x{200F}\x{2060}-\x{2064}\x{FEFF}]"
+INVISIBLE_CLASS = r"[\x{0000}-\x{0008}\x{000B}\x{000C}\x{000E}-\x{001F}\x{007F}-\x{009F}\x{00AD}\x{061C}\x{200B}\x{200C}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{2069}\x{FEFF}]"
 # The five basic entities, decoded with `&amp;` last so `&amp;lt;` stays `&lt;`.
 BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
@@ -68,22 +68,23 @@ def decode_basic_entities(c: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _unescape_all(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: html.unescape(x) if isinstance(x, str) else x)
+    return s.map(html.unescape, na_action="ignore")
 
 
 def decode_entities(c: Column) -> Column:
-    """CLN-4, every named and numeric entity; rows without ``&`` skip Python."""
-    return F.when(F.instr(c, "&") > 0, _unescape_all(c)).otherwise(c)
+    """CLN-4, every named and numeric entity. Rows without ``&`` go to Python as
+    NULL (a UDF below a ``when`` would get them whole)."""
+    return F.coalesce(_unescape_all(F.when(F.instr(c, "&") > 0, c)), c)
 
 
 @F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: unicodedata.normalize("NFC", x) if isinstance(x, str) else x)
+    return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
 def nfc(c: Column) -> Column:
-    """CLN-6: Unicode NFC; ASCII-only rows are already NFC and skip Python."""
-    return F.when(c.rlike(r"[^\x{0000}-\x{007F}]"), _nfc(c)).otherwise(c)
+    """CLN-6: Unicode NFC; ASCII-only rows are NFC already and go to Python as NULL."""
+    return F.coalesce(_nfc(F.when(c.rlike(r"[^\x{0000}-\x{007F}]"), c)), c)
 
 
 def truncate(c: Column, n: int = MAX_TEXT_CHARS) -> Column:

@@ -33,30 +33,32 @@ def since_filter(df: DataFrame, ts: str, since: Column | str | None) -> DataFram
     if since is None:
         return df
     s = F.lit(since).cast("timestamp") if isinstance(since, str) else since
-    t = F.coalesce(F.col(ts).cast("timestamp"), F.lit(EPOCH).cast("timestamp"))
-    return df.filter(s.isNull() | (t >= s))
+    return df.filter(s.isNull() | at_or_after(df, ts, s))
+
+
+def at_or_after(df: DataFrame, ts: str, bound: Column) -> Column:
+    """``coalesce(ts, epoch) >= bound`` as a comparison of the bare column, which
+    reaches the scan; the epoch matters only for a bound that is not after it."""
+    kind = df.schema[ts].dataType.simpleString()
+    kind, t = (kind, F.col(ts)) if kind.startswith("timestamp") else ("timestamp", F.col(ts).cast("timestamp"))
+    return (t >= bound.cast(kind)) | (t.isNull() & (bound <= F.lit(EPOCH).cast("timestamp")))
 
 
 def active_window(df: DataFrame, ts: str, run_ts: str, days: int | None) -> DataFrame:
     """FIL-4 / STR-4 (batch): ``ts >= run_ts - days``; unset keeps all; an
     unparseable time counts as the epoch and drops out."""
-    if not days:
+    if days is None:
         return df
-    cutoff = F.lit(run_ts).cast("timestamp") - F.make_dt_interval(days=F.lit(days))
-    return df.filter(F.coalesce(F.col(ts).cast("timestamp"), F.lit(EPOCH).cast("timestamp")) >= cutoff)
+    return df.filter(at_or_after(df, ts, F.lit(run_ts).cast("timestamp") - F.make_dt_interval(days=F.lit(days))))
 
 
-def parse_page_ids(csv: str) -> list[str]:
-    """FIL-6: comma list, blanks trimmed; empty is an error."""
-    ids = [p.strip() for p in (csv or "").split(",") if p.strip()]
-    if not ids:
+def page_subset(df: DataFrame, page_col: str, pages: list[str]) -> DataFrame:
+    """FIL-6: rows of the listed pages, a literal ``isin`` (bounded by what the
+    user listed). A list without any page is an error."""
+    wanted = [page.strip() for page in pages if page.strip()]
+    if not wanted:
         raise ValueError("page id list is empty")
-    return ids
-
-
-def page_subset(df: DataFrame, page_col: str, csv: str) -> DataFrame:
-    """FIL-6: a literal ``isin`` (bounded by the list the user typed)."""
-    return df.filter(F.col(page_col).isin(parse_page_ids(csv)))
+    return df.filter(F.col(page_col).isin(wanted))
 
 
 def split_new_known(snapshot: DataFrame, state: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:

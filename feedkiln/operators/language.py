@@ -10,6 +10,8 @@ with a large profile. No Python in the path.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,31 +40,43 @@ def doc_grams(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM) -> Data
     return grams.groupBy(id_col, "gram").agg(F.sum("wc").alias("cnt"))
 
 
-def build_profile(grams: DataFrame, labels: DataFrame, id_col: str, lang_col: str) -> tuple[DataFrame, DataFrame]:
-    """(profile ``lang, gram, logp``; floors ``lang, floor``)."""
-    g = grams.join(labels.select(id_col, lang_col), id_col)
-    # read three times below: cut it once (bounded by languages x distinct grams)
-    per = g.groupBy(lang_col, "gram").agg(F.sum("cnt").alias("c")).checkpoint(eager=True)
-    vocab = per.select("gram").distinct().agg(F.count(F.lit(1)).alias("v"))
-    tot = per.groupBy(lang_col).agg(F.sum("c").alias("n"))
-    norm = tot.crossJoin(F.broadcast(vocab)).select(lang_col, (F.col("n") + F.col("v")).alias("den"))
-    # one row per language: broadcast, so the profile is not shuffled by language
-    profile = per.join(F.broadcast(norm), lang_col).select(
-        lang_col, "gram", F.log((F.col("c") + 1) / F.col("den")).alias("logp"))
-    floors = norm.select(lang_col, F.log(1 / F.col("den")).alias("floor"))
-    return profile, floors
-
-
-def detect(grams: DataFrame, profile: DataFrame, floors: DataFrame, id_col: str,
-           lang_col: str = "lang", out: str = "detected_language") -> DataFrame:
-    """Best language per document; ties go to the smallest language code."""
-    total = grams.groupBy(id_col).agg(F.sum("cnt").alias("_all"))
-    seen = grams.join(profile, "gram").groupBy(id_col, lang_col).agg(
-        F.sum(F.col("cnt") * F.col("logp")).alias("_seen"), F.sum("cnt").alias("_hit"))
-    # every (doc, lang) pair: languages are few, so this is docs x langs rows
-    pairs = total.crossJoin(F.broadcast(floors))
-    s = pairs.join(seen, [id_col, lang_col], "left").select(
-        id_col, lang_col,
-        (F.coalesce(F.col("_seen"), F.lit(0.0)) +
-         (F.col("_all") - F.coalesce(F.col("_hit"), F.lit(0))) * F.col("floor")).alias("_score"))
-    return s.groupBy(id_col).agg(F.max_by(lang_col, F.struct(F.col("_score"), -F.ascii(lang_col))).alias(out))
+#: Languages of a profile at most: one column of sums each.
+MAX_LANGUAGES = 200
+
+
+def build_profile(grams: DataFrame, labels: DataFrame, id_col: str, lang_col: str) -> tuple[DataFrame, list[str], list[float]]:
+    """``(gram, logp)`` with one log-probability per language, the languages in
+    alphabetical order, and each language's floor for grams it never saw."""
+    known = labels.filter(F.col(lang_col).isNotNull()).select(id_col, lang_col)
+    # bounded by languages x distinct grams, and read three times below
+    per = grams.join(known, id_col).groupBy(lang_col, "gram").agg(F.sum("cnt").alias("c")).checkpoint(eager=True)
+    totals = per.groupBy(lang_col).agg(F.sum("c").alias("n")).orderBy(lang_col).limit(MAX_LANGUAGES + 1).collect()
+    if len(totals) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang_col}")
+    vocabulary = per.select("gram").distinct().count()
+    langs = [r[lang_col] for r in totals]
+    norm = [float(r["n"] + vocabulary) for r in totals]
+    logp = [F.log((F.sum(F.when(F.col(lang_col) == la, F.col("c")).otherwise(0)) + 1) / F.lit(n)) for la, n in zip(langs, norm, strict=True)]
+    profile = per.groupBy("gram").agg(F.array(*logp).alias("logp")) if langs else per.select("gram", F.array().cast("array<double>").alias("logp"))
+    return profile, langs, [math.log(1 / n) for n in norm]
+
+
+def detect(grams: DataFrame, profile: DataFrame, langs: list[str], floors: list[float], id_col: str,
+           out: str = "detected_language") -> DataFrame:
+    """Best language per document with grams; ties go to the first language in
+    alphabetical order. One join on the gram, one aggregate per document."""
+    if not langs:
+        return grams.select(id_col, F.lit(None).cast("string").alias(out)).distinct()
+    each = grams.join(profile, "gram", "left").groupBy(id_col).agg(
+        *[F.sum(F.col("cnt") * F.coalesce(F.get("logp", F.lit(i)), F.lit(f))).alias(f"_s{i}") for i, f in enumerate(floors)])
+    scores = [F.struct(F.round(F.col(f"_s{i}"), 6).alias("s"), F.lit(-i).alias("i"), F.lit(la).alias("l")) for i, la in enumerate(langs)]
+    return each.select(id_col, F.array_max(F.array(*scores))["l"].alias(out))
+
+
+def detect_languages(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, lang_col: str,
+                     out: str = "detected_language") -> DataFrame:
+    """SCR-2 over a table: every row of ``docs`` with its detected language, NULL
+    for a text without letters. ``labelled`` holds the rows to learn from."""
+    grams = doc_grams(docs, id_col, text_col).checkpoint(eager=True)
+    profile, langs, floors = build_profile(grams, labelled, id_col, lang_col)
+    return docs.join(detect(grams, profile, langs, floors, id_col, out), id_col, "left")

@@ -33,37 +33,38 @@ DEFAULT_LAYERS = {
 }
 
 
-def reply_depth(df: DataFrame, id_col: str, parent_col: str, max_rounds: int = 64) -> DataFrame:
+def reply_depth(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     """JOIN-8: root and depth of every node of a reply forest by pointer
-    jumping. Each round joins the table to itself once on the current ancestor
-    and doubles the jump, so depth D takes about log2(D) rounds; lineage is cut
-    with a reliable checkpoint every round. A parent that is not in the table
-    makes the node a root (``dangling`` true). A cycle never resolves: after
-    ``max_rounds`` its nodes keep ``root_id``/``depth`` NULL.
+    jumping. Each round joins the unresolved nodes to their ancestors once and
+    doubles the jump, so depth D takes about log2(D) rounds; resolved nodes
+    leave the join's left side, and lineage is cut with a reliable checkpoint. A
+    parent that is not in the table makes the node a root (``dangling`` true).
+    The rounds end when none resolves a node: what is left hangs on a cycle and
+    keeps ``root_id``/``depth`` NULL.
 
     The join key is the ancestor, which a viral thread shares among many rows;
     AQE splits that skewed partition.
     """
     nodes = df.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
     known = nodes.select(F.col("id").alias("parent"), F.lit(True).alias("_known"))
-    cur = nodes.join(known, "parent", "left").select(
+    start = nodes.join(known, "parent", "left").select(
         "id", F.when(F.col("_known"), F.col("parent")).alias("anc"),
-        (F.col("parent").isNotNull() & F.col("_known").isNull()).alias("dangling"))
-    cur = cur.select("id", "anc", "dangling",
-                     F.when(F.col("anc").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("dist"),
-                     F.when(F.col("anc").isNull(), F.col("id")).alias("root"))
-    for _ in range(max_rounds):
-        cur = cur.checkpoint(eager=True)
-        if cur.filter(F.col("anc").isNotNull()).limit(1).count() == 0:
+        (F.col("parent").isNotNull() & F.col("_known").isNull()).alias("dangling")).checkpoint()
+    done = start.filter("anc is null").select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth"), "dangling")
+    left = start.filter("anc is not null").select("id", "anc", F.lit(1).cast("long").alias("dist"), "dangling")
+    while True:
+        up = (left.select(F.col("id").alias("anc"), F.col("anc").alias("_a"), F.col("dist").alias("_d"), F.lit(None).cast(done.schema["root"].dataType).alias("_r"))
+              .unionByName(done.select(F.col("id").alias("anc"), F.lit(None).cast(left.schema["anc"].dataType).alias("_a"),
+                                       F.col("depth").alias("_d"), F.col("root").alias("_r"))))
+        step = left.join(up, "anc").select("id", F.col("_a").alias("anc"), (F.col("dist") + F.col("_d")).alias("dist"),
+                                           F.col("_r").alias("root"), "dangling").checkpoint()
+        new = step.filter("root is not null")
+        if new.isEmpty():
             break
-        up = cur.select(F.col("id").alias("anc"), F.col("anc").alias("_a"), F.col("dist").alias("_d"),
-                        F.col("root").alias("_r"))
-        cur = cur.join(up, "anc", "left").select(
-            "id", F.col("_a").alias("anc"), "dangling",
-            (F.col("dist") + F.coalesce(F.col("_d"), F.lit(0))).alias("dist"),
-            F.coalesce(F.col("root"), F.when(F.col("_a").isNull(), F.col("_r"))).alias("root"))
-    return cur.select(F.col("id").alias(id_col), F.col("root").alias("root_id"),
-                      F.when(F.col("root").isNotNull(), F.col("dist")).alias("depth"), "dangling")
+        done = done.unionByName(new.select("id", "root", F.col("dist").alias("depth"), "dangling"))
+        left = step.filter("root is null").select("id", "anc", "dist", "dangling")
+    lost = left.select("id", F.lit(None).cast(done.schema["root"].dataType).alias("root"), F.lit(None).cast("long").alias("depth"), "dangling")
+    return done.unionByName(lost).select(F.col("id").alias(id_col), F.col("root").alias("root_id"), "depth", "dangling")
 
 
 def engagement_daily(df: DataFrame, ts: str, group: list[str], value: str | None = None) -> DataFrame:
@@ -86,7 +87,7 @@ def map_video_comment(rec: Column, path: Column) -> list[Column]:
     native = g("$.id")
     parent = g("$.parentId")
     return [F.concat(F.lit("youtube_"), native).alias("comment_id"), F.lit("youtube").alias("platform"),
-            native.alias("native_comment_id"), g("$.videoId").alias("post_id"),
+            native.alias("native_comment_id"), F.concat(F.lit("youtube_"), g("$.videoId")).alias("post_id"),
             F.when(parent.isNotNull(), F.concat(F.lit("youtube_"), parent)).alias("parent_comment_id"),
             g("$.channelId").alias("page_id"), F.coalesce(g("$.textOriginal"), g("$.textDisplay")).alias("message"),
             F.try_to_timestamp(g("$.publishedAt")).alias("created_time"),
@@ -105,7 +106,8 @@ def map_microblog_post(rec: Column, path: Column) -> list[Column]:
     return [F.concat(F.lit("twitter_"), native).alias("post_id"), F.lit("twitter").alias("platform"),
             native.alias("native_post_id"), g("$.user.id_str").alias("page_id"),
             F.coalesce(g("$.full_text"), g("$.text")).alias("message"),
-            F.try_to_timestamp(g("$.created_at"), F.lit("EEE MMM dd HH:mm:ss Z yyyy")).alias("created_time"),
+            # the weekday says nothing that the date does not, and the parser refuses it
+            F.try_to_timestamp(F.regexp_replace(g("$.created_at"), "^[A-Za-z]{3} ", ""), F.lit("MMM dd HH:mm:ss Z yyyy")).alias("created_time"),
             F.coalesce(g("$.retweet_count", "bigint"), F.lit(0).cast("bigint")).alias("share_count"),
             F.coalesce(g("$.favorite_count", "bigint"), F.lit(0).cast("bigint")).alias("reaction_like"),
             *[F.lit(0).cast("bigint").alias(c) for c in schemas.REACTION_COLUMNS[1:]],

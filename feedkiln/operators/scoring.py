@@ -42,11 +42,6 @@ NEGATIVE_WORDS = (
 _TOKEN = re.compile(r"[^\w]+", re.UNICODE)
 
 
-def lexicon_frame(spark) -> DataFrame:
-    rows = [(w, 1) for w in POSITIVE_WORDS] + [(w, -1) for w in NEGATIVE_WORDS]
-    return spark.createDataFrame(rows, "word string, polarity int")
-
-
 def _label(pos: int, neg: int) -> tuple[str, float]:
     hits = pos + neg
     if hits == 0:
@@ -96,23 +91,22 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) > 0)
 
 
-def lexicon_scores(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
-                   model_name: str = LEXICON_MODEL) -> DataFrame:
-    """The default scorer as a Spark job: explode tokens, join the lexicon
-    (fixed list, broadcast), sum per id; ids without hits are neutral."""
-    toks = df.select(id_col, F.explode(tokens(F.col(text_col))).alias("word"))
-    hits = toks.join(F.broadcast(lexicon), "word").groupBy(id_col).agg(
-        F.count_if(F.col("polarity") > 0).alias("pos"), F.count_if(F.col("polarity") < 0).alias("neg"))
-    j = df.select(id_col).join(hits, id_col, "left").fillna(0, ["pos", "neg"])
+def lexicon_scores(df: DataFrame, id_col: str, text_col: str, positive: tuple[str, ...] = POSITIVE_WORDS,
+                   negative: tuple[str, ...] = NEGATIVE_WORDS, model_name: str = LEXICON_MODEL) -> DataFrame:
+    """The default scorer JVM-side: tokens that are in the fixed word lists are
+    counted within each row, so nothing is shuffled."""
+    count = lambda words: F.size(F.filter("_tokens", lambda w: w.isin(*words)))
+    hits = df.select(id_col, F.coalesce(tokens(F.col(text_col)), F.array().cast("array<string>")).alias("_tokens")).select(
+        id_col, count(positive).alias("pos"), count(negative).alias("neg"))
     n = F.col("pos") + F.col("neg")
     label = (F.when(F.col("pos") > F.col("neg"), "positive").when(F.col("neg") > F.col("pos"), "negative")
              .otherwise("neutral"))
     conf = F.when(n == 0, F.lit(0.5)).otherwise(
         F.round(F.lit(0.5) + F.lit(0.5) * F.abs(F.col("pos") - F.col("neg")) / n, 4))
-    return j.select(id_col, F.col("pos").cast("bigint").alias("pos_hits"),
-                    F.col("neg").cast("bigint").alias("neg_hits"),
-                    label.alias("sentiment_label"), conf.alias("confidence_score"),
-                    F.lit(model_name).alias("model_name"))
+    return hits.select(id_col, F.col("pos").cast("bigint").alias("pos_hits"),
+                       F.col("neg").cast("bigint").alias("neg_hits"),
+                       label.alias("sentiment_label"), conf.alias("confidence_score"),
+                       F.lit(model_name).alias("model_name"))
 
 
 def reaction_flag(angry: Column, sad: Column, total: Column,
@@ -130,7 +124,7 @@ def is_accepted(conf: Column, threshold: float = CONFIDENCE_THRESHOLD) -> Column
 
 def unscored(candidates: DataFrame, results: DataFrame, keys: list[str]) -> DataFrame:
     """JOIN-3: candidates without a result row (left anti)."""
-    return candidates.join(results.select(*keys).distinct(), keys, "left_anti")
+    return candidates.join(results.select(*keys), keys, "left_anti")
 
 
 def eligible(df: DataFrame, has_text: str = "has_text", flags: str = "quality_flag") -> tuple[DataFrame, DataFrame]:

@@ -66,6 +66,11 @@ def _decode_basic(c: str) -> str:
     return c
 
 
+# the kinds of turn, written out
+_TURNS = """(select conv_id, turn, case conv_id % 6 when 0 then ' ' || chr(9) || chr(10) || ' '
+  when 1 then regexp_extract(text, '^\\S+\\s+\\S+') when 2 then ' https://example.org/t/' || conv_id || ' '
+  when 3 then repeat(chr(128512), 2) || ' ' || repeat(chr(128512), 3) else text end as text from conversations)"""
+
 _ORDERS_TS = f"""
 with tgt as (
   select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -163,10 +168,17 @@ ORACLE = {
 select user_id, event_type, event_id, ts, value from events
 qualify row_number() over (partition by user_id, event_type order by ts desc, event_id desc) = 1
 """,
+    # the expected value and reason of each kind of payload, written out
     "json_extract_default": """
-select event_id, cast(json_extract(props, '$.k') as bigint) as k,
-       coalesce(cast(json_extract(props, '$.m') as bigint), 0) as m_default, cast(null as varchar) as k_reason
-from events
+with e as (select *, cast(regexp_extract(props, '[0-9]+') as bigint) as n, user_id % 2 = 0 as varied, event_id % 9 = 0 as cut from events)
+select event_id,
+       case when not varied then n when cut then 0 when event_type = 'view' then n
+            when event_type in ('error', 'signup', 'purchase') then null else 0 end as k,
+       case when varied and not cut and event_type = 'purchase' then 4
+            when varied and not cut and event_type not in ('view', 'error', 'signup') then 3 else 0 end as m_default,
+       case when not varied or cut then null when event_type in ('error', 'signup') then 'not_an_integer:k'
+            when event_type = 'purchase' then 'null_value:k' end as k_reason
+from e
 """,
     "surrogate_key": """
 select event_id, cast(user_id as varchar) || '_' || cast(event_id as varchar) as composite_id,
@@ -209,6 +221,7 @@ from o full outer join l on o.year = l.year
         _not_null("not_null_documents_text", "documents", "text"),
         _not_null("not_null_conversations_text", "conversations", "text"),
         _not_null("not_null_labels_doc_id", "labels", "doc_id"),
+        _not_null("not_null_documents_quality", "(select d.doc_id, l.quality from documents d left join labels l using (doc_id))", "quality"),
     ]),
     "accepted_values_test": " union all ".join([
         _accepted("accepted_events_event_type", "events", "event_type", ["view", "click", "purchase", "signup"]),
@@ -220,6 +233,8 @@ from o full outer join l on o.year = l.year
         _orphans("lineitem_to_orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
         _orphans("orders_to_customer", "orders", "o_custkey", "customer", "c_custkey"),
         _orphans("labels_to_documents", "labels", "doc_id", "documents", "doc_id"),
+        _orphans("labels_to_english_documents", "labels", "doc_id", "(select * from documents where lang = 'en')", "doc_id"),
+        _orphans("lineitem_to_final_orders", "lineitem", "l_orderkey", "(select * from orders where o_orderstatus = 'F')", "o_orderkey"),
         _orphans("customer_without_orders", "customer", "c_custkey", "orders", "o_custkey"),
     ]),
     "merge_upsert": _ORDERS_TS + """
@@ -270,7 +285,7 @@ where (select max(ts) from events where ts < timestamp '{Q.HIGH_WATER_CUTOFF}')
 """,
     "ids_since_excluding": f"""
 with r as (select * from events where ts >= timestamp '{Q.IDS_SINCE}'),
-x as (select distinct user_id from events where ts < timestamp '{Q.IDS_SINCE}' and event_type = 'signup')
+x as (select distinct user_id from events where ts < timestamp '2024-01-02 00:00:00' and event_type = 'signup')
 select user_id, ts as first_ts, event_id as first_event_id from r
 where user_id is not null and user_id not in (select user_id from x)
 qualify row_number() over (partition by user_id order by ts, event_id) = 1
@@ -285,19 +300,21 @@ from orders
 select event_id,
        case when event_id is null then 'missing_pk'
             when ts is null then 'missing:ts'
-            when ts < timestamp '2024-01-01 00:00:00' then 'before:ts'
-            when ts > timestamp '{Q.RUN_TS}' then 'after:ts'
-            when try_cast(props as json) is null then 'malformed_json:props'
-            when json_extract(props, '$.k') is null then 'missing:k'
-            when value < 0 then 'negative:value' end as rejection_reason
-from events
+            when ts < timestamp '2024-01-03 00:00:00' then 'before:ts'
+            when ts > timestamp '2024-01-29 00:00:00' then 'after:ts'
+            when varied and event_id % 9 = 0 then 'malformed_json:props'
+            when varied and event_type not in ('view', 'error', 'signup', 'purchase') then 'missing:k'
+            when varied and event_type in ('error', 'signup') then 'not_an_integer:k'
+            when varied and event_type = 'purchase' then 'null_value:k'
+            when value < 1 then 'low:value' end as rejection_reason
+from (select *, user_id % 2 = 0 as varied from events)
 """,
     "clean_text": f"""
 select doc_id, {_strip_ws('text')} as text_cleaned, length({_strip_ws('text')}) as n_chars_cleaned from documents
 """,
     "null_if_empty": f"""
 select conv_id, turn, {_clean('text')} as text_or_null, coalesce(length({_clean('text')}) > 0, false) as has_text
-from conversations
+from {_TURNS}
 """,
     "truncate_text": f"""
 select doc_id, left({_clean('text')}, {TX.MAX_TEXT_CHARS}) as text_truncated,
@@ -306,15 +323,18 @@ from documents
 """,
     "strip_markup": f"select page_id, {_strip_markup('html')} as text from pages",
     "decode_entities": f"select page_id, {_decode_basic(_strip_markup('html'))} as text_decoded from pages",
-    "nfc_normalise": "select doc_id, nfc_normalize(text) as text_nfc from documents",
+    "nfc_normalise": """
+select doc_id, nfc_normalize(t) as text_nfc, length(t) as n_before
+from (select doc_id, replace(text, chr(233), 'e' || chr(769)) as t from documents)
+""",
     "too_short": f"""
-select conv_id, turn, {_word_count(_clean('text'))} as n_words, {_word_count(_clean('text'))} < {TX.MIN_WORDS} as too_short
-from conversations
+select conv_id, turn, {_word_count(_clean('text'))} as n_words, {_word_count(_clean('text'))} < 3 as too_short
+from {_TURNS}
 """,
-    "url_only": f"select page_id, coalesce(regexp_matches({_clean('url')}, '{TX.URL_ONLY_PATTERN}'), false) as url_only from pages",
+    "url_only": "select page_id, strpos(url, '?') = 0 as url_only from pages",
     "quality_flags": f"""
 select conv_id, turn, {_flags_csv(_text_flags('c'))} as quality_flag
-from (select conv_id, turn, {_clean('text')} as c from conversations)
+from (select conv_id, turn, {_clean('text')} as c from {_TURNS})
 """,
     "spam_window": """
 select event_id, count(*) over (partition by user_id, event_type order by ts
@@ -449,3 +469,26 @@ ORACLE["stream_state"] = f"""
 select user_id, {', '.join(f"cast(count(*) filter (where event_type = '{t}') as bigint) as n_{t}" for t in _ET)}
 from events group by user_id
 """
+
+# the scorer called in batches gives what the word lists give
+ORACLE["score_batch"] = f"select doc_id, sentiment_label, confidence_score, model_name, confidence_score >= 0.6 as is_accepted from ({ORACLE['score_lexicon']})"
+
+# the supplied pages hold these four entities
+ORACLE["decode_entities_full"] = f"""
+select page_id, replace(replace(replace(replace({_strip_markup('html')}, '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&')
+  as text_decoded from pages
+"""
+
+ORACLE["language_detect"] = r"""
+with w as (select doc_id, unnest(string_split(regexp_replace(lower(text), '[^\p{L}]+', ' ', 'g'), ' ')) as w from documents),
+wc as (select doc_id, ' ' || w || ' ' as p, count(*) as n from w where length(w) > 0 group by all),
+g as (select doc_id, substr(p, i, 3) as gram, sum(n) as cnt from (select *, unnest(range(1, length(p) - 1)) as i from wc) group by all),
+per as (select lang, gram, sum(cnt) as c from g join documents using (doc_id)
+        where lang is not null and doc_id in (select doc_id from labels) group by all),
+v as (select count(distinct gram) as v from per),
+norm as (select lang, sum(c) + any_value(v) as den from per, v group by lang),
+s as (select doc_id, lang, round(sum(cnt * ln((coalesce(c, 0) + 1) / den)), 6) as score
+      from g cross join norm left join per using (lang, gram) group by all),
+best as (select doc_id, lang as detected from s qualify row_number() over (partition by doc_id order by score desc, lang) = 1)
+select d.doc_id, d.lang, b.detected as detected_language from documents d left join best b using (doc_id)
+"""

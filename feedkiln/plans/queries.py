@@ -53,8 +53,22 @@ def q_dedup_latest(spark: SparkSession, d: str) -> DataFrame:
         "user_id", "event_type", "event_id", "ts", "value")
 
 
+def _varied_props(spark: SparkSession, d: str) -> DataFrame:
+    """``events`` with the faults that landed payloads have: by the event's type
+    ``k`` is a quoted number, a word, a fraction, null or absent, and every
+    ninth event's payload is cut short."""
+    by = lambda t: F.col("event_type") == t
+    k = F.regexp_extract("props", "[0-9]+", 0)
+    props = (F.when(F.pmod(F.col("event_id"), F.lit(9)) == 0, F.lit('{"k": '))
+             .when(by("view"), F.concat(F.lit('{"k": "'), k, F.lit('"}'))).when(by("error"), F.lit('{"k": "many"}'))
+             .when(by("signup"), F.concat(F.lit('{"k": '), k, F.lit(".5}"))).when(by("purchase"), F.lit('{"k": null, "m": 4}'))
+             .otherwise(F.lit('{"m": 3}')))
+    varied = F.pmod(F.col("user_id"), F.lit(2)) == 0
+    return table(spark, d, "events").withColumn("props", F.when(varied, props).otherwise(F.col("props")))
+
+
 def q_json_extract_default(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").select("event_id", F.try_parse_json(F.col("props")).alias("v"))
+    ev = _varied_props(spark, d).select("event_id", F.try_parse_json(F.col("props")).alias("v"))
     sc = V.Scope()
     k, k_reason = V.long_field(sc, "v", "$.k", "k")
     m, _ = V.long_field(sc, "v", "$.m", "m", default=0)
@@ -135,7 +149,9 @@ def q_not_null_test(spark: SparkSession, d: str) -> DataFrame:
         checks.not_null_test(table(spark, d, "lineitem"), "l_orderkey", "not_null_lineitem_l_orderkey"),
         checks.not_null_test(table(spark, d, "documents"), "text", "not_null_documents_text"),
         checks.not_null_test(table(spark, d, "conversations"), "text", "not_null_conversations_text"),
-        checks.not_null_test(table(spark, d, "labels"), "doc_id", "not_null_labels_doc_id"))
+        checks.not_null_test(table(spark, d, "labels"), "doc_id", "not_null_labels_doc_id"),
+        checks.not_null_test(table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left"),
+                             "quality", "not_null_documents_quality"))
 
 
 def q_accepted_values_test(spark: SparkSession, d: str) -> DataFrame:
@@ -159,6 +175,8 @@ def q_referential_orphans(spark: SparkSession, d: str) -> DataFrame:
         checks.relationships_test(li, o, "l_orderkey", "o_orderkey", "lineitem_to_orders"),
         checks.relationships_test(o, c, "o_custkey", "c_custkey", "orders_to_customer"),
         checks.relationships_test(lab, docs, "doc_id", "doc_id", "labels_to_documents"),
+        checks.relationships_test(lab, docs.filter("lang = 'en'"), "doc_id", "doc_id", "labels_to_english_documents"),
+        checks.relationships_test(li, o.filter("o_orderstatus = 'F'"), "l_orderkey", "o_orderkey", "lineitem_to_final_orders"),
         no_orders)
 
 
@@ -246,7 +264,7 @@ def q_high_water(spark: SparkSession, d: str) -> DataFrame:
 def q_ids_since_excluding(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     recs = ev.filter(F.col("ts") >= _ts(IDS_SINCE))
-    exclude = ev.filter((F.col("ts") < _ts(IDS_SINCE)) & (F.col("event_type") == "signup")).select("user_id")
+    exclude = ev.filter((F.col("ts") < _ts(STATE_EARLY)) & (F.col("event_type") == "signup")).select("user_id")
     return incremental.first_seen_ids(recs, "user_id", ["ts", "event_id"], exclude)
 
 
@@ -260,17 +278,17 @@ def q_time_range_reject(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_reject_reasons(spark: SparkSession, d: str) -> DataFrame:
-    ev = table(spark, d, "events").select("event_id", "ts", "value", F.try_parse_json(F.col("props")).alias("v"))
+    ev = _varied_props(spark, d).select("event_id", "ts", "value", F.try_parse_json(F.col("props")).alias("v"))
     sc = V.Scope()
     _, k_reason = V.long_field(sc, "v", "$.k", "k", default=None)
     reason = V.first_reason(
         F.when(F.col("event_id").isNull(), F.lit("missing_pk")),
         F.when(F.col("ts").isNull(), F.lit("missing:ts")),
-        T.time_range_reason(F.col("ts"), "2024-01-01 00:00:00", RUN_TS, "ts"),
+        T.time_range_reason(F.col("ts"), "2024-01-03 00:00:00", STATE_CUTOFF, "ts"),
         F.when(F.col("v").isNull(), F.lit("malformed_json:props")),
         F.when(sc.kind("v", "$.k") == "ABSENT", F.lit("missing:k")),
         k_reason,
-        F.when(F.col("value") < 0, F.lit("negative:value")))
+        F.when(F.col("value") < 1, F.lit("low:value")))
     return sc.apply(ev).select("event_id", reason.alias("rejection_reason"))
 
 
@@ -282,8 +300,18 @@ def q_clean_text(spark: SparkSession, d: str) -> DataFrame:
     return docs.select("doc_id", "text_cleaned", F.length("text_cleaned").alias("n_chars_cleaned"))
 
 
+def _varied_turns(spark: SparkSession, d: str) -> DataFrame:
+    """``conversations`` in the variety that landed comments have: every sixth
+    conversation's turns become blank, a few words, a bare link, or emoji."""
+    kind = F.pmod(F.col("conv_id"), F.lit(6))
+    text = (F.when(kind == 0, F.lit(" \t\n ")).when(kind == 1, F.regexp_extract("text", r"^\S+\s+\S+", 0))
+            .when(kind == 2, F.concat(F.lit(" https://example.org/t/"), F.col("conv_id").cast("string"), F.lit(" ")))
+            .when(kind == 3, F.lit("\U0001F600\U0001F600 \U0001F600\U0001F600\U0001F600")).otherwise(F.col("text")))
+    return table(spark, d, "conversations").select("conv_id", "turn", text.alias("text"))
+
+
 def q_null_if_empty(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    conv = _varied_turns(spark, d).select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
     return conv.select("conv_id", "turn", F.col("c").alias("text_or_null"), TX.has_text(F.col("c")).alias("has_text"))
 
 
@@ -311,23 +339,25 @@ def q_decode_entities_full(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_nfc_normalise(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    return docs.select("doc_id", TX.nfc(F.col("text")).alias("text_nfc"))
+    # the supplied texts are composed; taken apart first, most rows have work to do
+    docs = table(spark, d, "documents").select("doc_id", F.replace("text", F.lit("\u00e9"), F.lit("e\u0301")).alias("text"))
+    return docs.select("doc_id", TX.nfc(F.col("text")).alias("text_nfc"), F.length("text").alias("n_before"))
 
 
 def q_too_short(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    conv = _varied_turns(spark, d).select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
     c = F.col("c")
     return conv.select("conv_id", "turn", TX.word_count(c).alias("n_words"), TX.too_short(c).alias("too_short"))
 
 
 def q_url_only(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages")
-    return pages.select("page_id", TX.url_only(TX.clean_ws(F.col("url"))).alias("url_only"))
+    # a link alone, or (for links with a query) a link and words
+    text = F.when(F.contains("url", F.lit("?")), F.concat("url", F.lit(" and more"))).otherwise(F.concat(F.lit(" "), "url"))
+    return table(spark, d, "pages").select("page_id", TX.url_only(TX.clean_ws(text)).alias("url_only"))
 
 
 def q_quality_flags(spark: SparkSession, d: str) -> DataFrame:
-    conv = table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
+    conv = _varied_turns(spark, d).select("conv_id", "turn", TX.clean_ws(F.col("text")).alias("c"))
     return conv.select("conv_id", "turn", TX.flags_csv(quality.text_flags(F.col("c"))).alias("quality_flag"))
 
 
@@ -355,12 +385,7 @@ def q_language_detect(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     labelled = docs.join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_semi")
     session.checkpoint_root(spark)
-    # the per-document grams feed both the profile and the detection: write once
-    grams = language.doc_grams(docs, "doc_id", "text").checkpoint(eager=True)
-    profile, floors = language.build_profile(grams, labelled, "doc_id", "lang")
-    todo = grams.join(labelled.select("doc_id"), "doc_id", "left_anti")
-    det = language.detect(todo, profile, floors, "doc_id", "lang")
-    return docs.select("doc_id", "lang").join(det, "doc_id")
+    return language.detect_languages(docs, labelled, "doc_id", "text", "lang").select("doc_id", "lang", "detected_language")
 
 
 def q_reply_hierarchy(spark: SparkSession, d: str) -> DataFrame:
@@ -396,17 +421,16 @@ def q_reaction_flag(spark: SparkSession, d: str) -> DataFrame:
 def _document_candidates(spark: SparkSession, d: str) -> DataFrame:
     """Documents with cleaned text, ``has_text`` and ``quality_flag``.
 
-    The cleaned text is a column of its own (the flags read it, they do not
-    re-run the regexps), and duplicates are counted on a SHA-256 of the text,
-    so the shuffle carries 32 bytes per document instead of the document.
+    The flags are computed from the cleaned text before the shuffle, and
+    duplicates are counted on a digest of the text, so the shuffle carries an
+    id, a few booleans and the digest instead of the document.
     """
-    docs = spread(table(spark, d, "documents").select("doc_id", "text"))
-    staged = docs.select("doc_id", TX.clean_ws(F.col("text")).alias("c"), F.sha2("text", 256).alias("h"))
-    dup = staged.groupBy("h").agg(F.count(F.lit(1)).alias("_copies"))
+    docs = table(spark, d, "documents").select("doc_id", TX.clean_ws(F.col("text")).alias("c"), F.sha2("text", 256).alias("h"))
     flags = quality.text_flags(F.col("c"))
-    flags["duplicate_text"] = F.col("_copies") > 1
-    return staged.join(dup, "h").select("doc_id", TX.has_text(F.col("c")).alias("has_text"),
-                                        TX.flags_csv(flags).alias("quality_flag"))
+    slim = docs.select("doc_id", "h", TX.has_text(F.col("c")).alias("has_text"), *[v.alias(k) for k, v in flags.items()])
+    dup = slim.groupBy("h").agg(F.count(F.lit(1)).alias("_copies"))
+    shown = {k: F.col(k) for k in flags} | {"duplicate_text": F.col("_copies") > 1}
+    return slim.join(dup, "h").select("doc_id", "has_text", TX.flags_csv(shown).alias("quality_flag"))
 
 
 def q_unscored(spark: SparkSession, d: str) -> DataFrame:
@@ -473,7 +497,7 @@ def q_score_batch(spark: SparkSession, d: str) -> DataFrame:
 
 def q_score_lexicon(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
-    return scoring.lexicon_scores(docs, "doc_id", "text", scoring.lexicon_frame(spark))
+    return scoring.lexicon_scores(docs, "doc_id", "text")
 
 
 # ---------------------------------------------------------------- marts / checks

@@ -19,10 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.variant.allowDuplicateKeys": "true",
-    # collect_list (envelope batches) runs in the object hash aggregate, which
-    # by default falls back to sort-based aggregation after 128 keys per task;
-    # 64 k keys of small record lists is a few tens of MB per task
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -95,16 +91,22 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we pick one.
+    The cluster names it; only a local master may leave it unset (tests), and
+    then a temporary folder is picked.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Connect session: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share") from None
+        return root
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if not (sc.master == "local" or sc.master.startswith("local[")):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             root = tempfile.mkdtemp(prefix="feedkiln-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from feedkiln import schemas
@@ -110,11 +112,12 @@ def test_first_seen_ids(spark):
     assert rows(out, "id", "first_t", "first_n") == [("x", 1, 3), ("y", 1, 2)]
 
 
-def test_page_ids():
-    assert incremental.parse_page_ids(" a, ,b ") == ["a", "b"]
+def test_page_ids(spark):
+    pages = spark.createDataFrame([("a",), ("b",), ("c",)], "page_id string")
+    assert rows(incremental.page_subset(pages, "page_id", [" a", "", "b "]), "page_id") == [("a",), ("b",)]
     import pytest
     with pytest.raises(ValueError):
-        incremental.parse_page_ids(" , ")
+        incremental.page_subset(pages, "page_id", [" ", ""])
 
 
 # ---------------------------------------------------------------- windows and flags
@@ -216,7 +219,7 @@ def test_scoring_contract_and_bookkeeping(spark):
     s = scoring.score_batches(docs.coalesce(1), "id", "text", factory, batch_size=2)
     got = {r.id: (r.sentiment_label, r.confidence_score) for r in s.collect()}
     assert got[1][0] == "positive" and got[2][0] == "negative" and got[3] == ("neutral", 0.5)
-    sql = {r.id: r.sentiment_label for r in scoring.lexicon_scores(docs, "id", "text", scoring.lexicon_frame(spark)).collect()}
+    sql = {r.id: r.sentiment_label for r in scoring.lexicon_scores(docs, "id", "text").collect()}
     assert sql == {k: v[0] for k, v in got.items()}
     res = scoring.result_rows(s, "comment", "id", None, "2024-01-01 00:00:00")
     again = merge.insert_only(res, res, ["source_id", "source_type", "model_name"])
@@ -230,11 +233,16 @@ def test_scoring_contract_and_bookkeeping(spark):
 def test_reply_depth(spark):
     nodes = spark.createDataFrame([("r", None), ("a", "r"), ("b", "a"), ("c", "b"), ("d", "gone"),
                                    ("x", "y"), ("y", "x")], "id string, parent string")
-    out = {r.id: (r.root_id, r.depth, r.dangling) for r in marts.reply_depth(nodes, "id", "parent", max_rounds=8).collect()}
+    out = {r.id: (r.root_id, r.depth, r.dangling) for r in marts.reply_depth(nodes, "id", "parent").collect()}
     assert out["r"] == ("r", 0, False) and out["a"] == ("r", 1, False)
     assert out["b"] == ("r", 2, False) and out["c"] == ("r", 3, False)
     assert out["d"] == ("d", 0, True)
     assert out["x"][0] is None and out["y"][1] is None     # a cycle never resolves
+    # a hot root, a long chain, and a branch that hangs on a cycle
+    rows_ = [("h", None)] + [(f"h{i}", "h") for i in range(300)] + [("n0", None)] + [(f"n{i}", f"n{i - 1}") for i in range(1, 70)]
+    rows_ += [("p", "q"), ("q", "p"), ("t", "q")]
+    out = {r.id: (r.root_id, r.depth) for r in marts.reply_depth(spark.createDataFrame(rows_, "id string, parent string"), "id", "parent").collect()}
+    assert len(out) == len(rows_) and out["h7"] == ("h", 1) and out["n69"] == ("n0", 69) and out["t"] == (None, None)
 
 
 def test_overlay_and_latest(spark):
@@ -245,24 +253,64 @@ def test_overlay_and_latest(spark):
     assert rows(latest_per_key(df, ["k"], ["t", "v"]), "v") == [("c",)]
 
 
-def test_bucketed_table_rewrites_touched_buckets_only(spark, tmp_path):
-    schema = "k long, v string"
-    bt = merge.BucketedTable(spark, str(tmp_path / "bt"), spark.createDataFrame([], schema).schema, ["k"], buckets=8)
-    bt.create_if_missing()
-    assert bt.read().count() == 0
-    base = spark.createDataFrame([(i, "a") for i in range(200)], schema)
-    assert bt.upsert(base) == 200
-    first = bt.manifest()
-    assert len(first) == 8 and set(first.values()) == {1}
+def test_keyed_table_replaces_touched_partitions_only(spark, tmp_path):
+    schema = spark.createDataFrame([], "k long, v string").schema
+    kt = merge.KeyedTable(spark, str(tmp_path / "kt"), schema, ["k"], buckets=8)
+    kt.create_if_missing()
+    assert kt.read().count() == 0
+    assert kt.upsert(spark.createDataFrame([(i, "a") for i in range(200)], schema)) == 200
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "kt").rglob("*.parquet")}
+    before = files()
     upd = spark.createDataFrame([(3, "b"), (1000, "new")], schema)
-    bt.upsert(upd)
-    second = bt.manifest()
-    touched = {b for b, v in second.items() if v == 2}
-    assert 1 <= len(touched) <= 2 and all(second[b] == 1 for b in second if b not in touched)
-    got = {r.k: r.v for r in bt.read().collect()}
+    kt.upsert(upd)
+    gone = {p.rsplit("/", 2)[1] for p in before if p not in files()}
+    assert 1 <= len(gone) <= 2 and len(before) >= 8
+    got = {r.k: r.v for r in kt.read().collect()}
     assert len(got) == 201 and got[3] == "b" and got[1000] == "new" and got[4] == "a"
-    bt.upsert(upd)  # idempotent
-    assert {r.k: r.v for r in bt.read().collect()} == got
+    kt.upsert(upd)  # idempotent
+    assert {r.k: r.v for r in kt.read().collect()} == got
+    with pytest.raises(ValueError):  # another number of buckets would place keys elsewhere
+        merge.KeyedTable(spark, str(tmp_path / "kt"), schema, ["k"], buckets=4).upsert(upd)
+
+
+def test_a_half_written_version_is_replaced(spark, tmp_path):
+    vt = merge.VersionedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], "k long").schema)
+    vt.commit(spark.createDataFrame([(1,)], "k long"))
+    broken = tmp_path / "t" / "v=1"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"half")
+    assert [r.k for r in vt.read().collect()] == [1]
+    assert vt.commit(spark.createDataFrame([(2,)], "k long")) == 1
+    assert [r.k for r in vt.read().collect()] == [2]
+
+
+def test_platform_mappers(spark):
+    from pyspark.sql import functions as F
+    post = '{"id_str": "7", "created_at": "Wed Oct 10 20:19:24 +0000 2018", "full_text": "t", "user": {"id_str": "u"}, "favorite_count": 3}'
+    note = '{"id": "c", "videoId": "v", "parentId": "p", "channelId": "ch", "textDisplay": "x", "publishedAt": "2020-01-02T03:04:05Z", "likeCount": 2}'
+    df = spark.createDataFrame([(post, note)], "a string, b string").select(F.parse_json("a").alias("a"), F.parse_json("b").alias("b"))
+    p = df.select(*marts.map_microblog_post(F.col("a"), F.lit("f"))).collect()[0]
+    assert p.post_id == "twitter_7" and p.created_time == dt.datetime(2018, 10, 10, 20, 19, 24) and p.reaction_like == 3
+    c = df.select(*marts.map_video_comment(F.col("b"), F.lit("f"))).collect()[0]
+    assert c.comment_id == "youtube_c" and c.post_id == "youtube_v" and c.parent_comment_id == "youtube_p" and c.is_reply
+
+
+def test_language_of_every_document(spark):
+    from feedkiln.operators import language
+    docs = spark.createDataFrame([(1, "the and the and", "en"), (2, "der und die und", "de"), (3, "the the", None), (4, "die und", None),
+                                  (5, "123", None), (6, None, None)], "id int, text string, lang string")
+    out = language.detect_languages(docs, docs.filter("id < 3"), "id", "text", "lang")
+    assert rows(out, "id", "detected_language") == [(1, "en"), (2, "de"), (3, "en"), (4, "de"), (5, None), (6, None)]
+
+
+def test_bounds_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, T0), (2, None)], "id int, ts timestamp").write.parquet(str(tmp_path / "e"))
+    ev = spark.read.parquet(str(tmp_path / "e"))
+    for df in (incremental.since_filter(ev, "ts", "2024-01-01 00:00:00"), incremental.active_window(ev, "ts", "2024-01-31 00:00:00", 30),
+               merge.high_water_filter(ev, ev.filter("id = 9"), "ts", "ts").filter("ts > timestamp '2020-01-01'")):
+        assert "GreaterThan" in df._jdf.queryExecution().executedPlan().toString()
+    assert incremental.since_filter(ev, "ts", "1960-01-01 00:00:00").count() == 2  # an unknown time counts as the epoch
+    assert incremental.active_window(ev, "ts", "2024-01-01 00:00:00", 0).count() <= 1 and incremental.active_window(ev, "ts", "x", None).count() == 2
 
 
 def test_has_neighbour_matches_bruteforce(spark):

@@ -28,8 +28,8 @@ def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
-    if sql is None:  # rows-only: a Python scorer, a learned profile, full entity decoding
-        assert len(df.columns) > 0
+    if sql is None:  # learned models and the like; tests/llm holds them against brute force
+        assert rows and name.startswith(("op", "pipeline"))
         return
     cur = con.execute(sql)
     ocols = [d[0] for d in cur.description]
