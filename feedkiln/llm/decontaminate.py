@@ -256,22 +256,24 @@ def united(found: DataFrame, ident: str) -> DataFrame:
         ident, "n_words", hit.alias("n_hit"), "matches")
 
 
-def _keep(batches: Iterator[pa.RecordBatch], text: str, benches: list) -> Iterator[pa.RecordBatch]:
-    blocks = [Items(*b.value) for b in benches]
+def _keep(batches: Iterator[pa.RecordBatch], text: str, bench) -> Iterator[pa.RecordBatch]:
+    items = Items(*bench.value)
     for batch in batches:
         for part in slices(batch, text):
             hashes, begin = hashed_words(part[text])
             cover = np.zeros(len(hashes) + 1, np.int64)
-            for items in blocks if len(hashes) else ():
-                if len(items.ids):
-                    find(hashes, begin, items, cover)
+            if len(hashes) and len(items.ids):
+                find(hashes, begin, items, cover)
             hits = np.concatenate([[0], np.cumsum(np.cumsum(cover)[:-1] > 0)])
             yield part.filter(pa.array(hits[begin[1:]] == hits[begin[:-1]]))
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text") -> DataFrame:
-    """The documents without any benchmark window, all columns as they were."""
-    sc = docs.sparkSession.sparkContext
-    benches = [sc.broadcast((ids, texts, window)) for ids, texts in benchmark_blocks(benchmark)]
-    return docs.mapInArrow(lambda it: _keep(it, text, benches), docs.schema)
+    """The documents without any benchmark window, all columns as they were; a
+    large benchmark filters them block after block."""
+    schema = docs.schema
+    for ids, texts in benchmark_blocks(benchmark):
+        bench = docs.sparkSession.sparkContext.broadcast((ids, texts, window))
+        docs = docs.mapInArrow(lambda it, b=bench: _keep(it, text, b), schema)
+    return docs
 

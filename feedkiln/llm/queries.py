@@ -40,7 +40,7 @@ def op4_byte_bpe(spark, sf_dir: str) -> DataFrame:
 def op5_language_id(spark, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three of four folds."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.pmod(crc("doc_id"), F.lit(4)) == 2
+    held_out = F.coalesce(F.pmod(crc("doc_id"), F.lit(4)) == 2, F.lit(False))
     net = language_gru.fit(docs.filter(~held_out))
     return language_gru.predict(docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "share")
 
@@ -73,7 +73,7 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity_gbt.fit(docs, read(spark, sf_dir, "labels"), folds=5, held_out=0)
     return toxicity_gbt.score(docs, model).select(
-        "doc_id", (F.pmod(crc("doc_id"), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        "doc_id", F.coalesce(F.pmod(crc("doc_id"), F.lit(5)) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 QUERIES = {f.__name__: f for f in (
