@@ -114,14 +114,19 @@ def strip_retweet_prefix(c: Column) -> Column:
     return F.regexp_replace(c, RETWEET_PREFIX_PATTERN, "")
 
 
-def clean_text(c: Column, normalise: bool = True, entities: bool = True) -> Column:
-    """The full text rule set in order: entities, NFC, invisibles, whitespace,
-    empty -> NULL, truncation."""
+def untruncated_text(c: Column, normalise: bool = True, entities: bool = True) -> Column:
+    """The text rules in order, without the last: entities, NFC, invisibles,
+    whitespace, empty -> NULL."""
     if entities:
         c = decode_entities(c)
     if normalise:
         c = nfc(c)
-    return truncate(clean_ws(drop_invisible(c)))
+    return clean_ws(drop_invisible(c))
+
+
+def clean_text(c: Column, normalise: bool = True, entities: bool = True) -> Column:
+    """The full text rule set: ``untruncated_text``, then truncation."""
+    return truncate(untruncated_text(c, normalise, entities))
 
 
 def text_fallback(message: Column, story: Column) -> Column:

@@ -159,7 +159,8 @@ select 'facebook_' || cast(event_id as varchar) as post_id, cast(user_id as varc
        cast(json_extract(props, '$.k') as bigint) as reaction_total, false as has_attachment,
        cast(cast(ts as date) + interval 1 day as timestamp) as ingested_at
 from events
-where ts >= timestamp '2004-01-01 00:00:00' and ts <= timestamp '{Q.RUN_TS}'
+where ts >= timestamp '2004-01-01 00:00:00' and ts <= timestamp '2024-01-31 00:00:00'
+  and event_type <> 'error' and user_id % 50 <> 0
 """
 
 
@@ -190,13 +191,15 @@ from events
 select l_orderkey,
        cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity,
             l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) - 1 as bigint) as pos,
-       cast(count(*) over (partition by l_orderkey) as bigint) as record_count,
-       l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate
-from lineitem
+       cast(n as bigint) as record_count, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate
+from (select *, count(*) over (partition by l_orderkey) as n,
+             row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity,
+             l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) as k from lineitem)
+where l_orderkey % 20 <> 0 or k > 1
 """,
     "envelope_reconcile": """
-select l_orderkey, cast(count(*) as bigint) as declared_count, cast(count(*) as bigint) as found_count,
-       true as matches
+select l_orderkey, count(*) as declared_count, count(*) - case when l_orderkey % 20 = 0 then 1 else 0 end as found_count,
+       l_orderkey % 20 <> 0 as matches
 from lineitem group by l_orderkey
 """,
     "layer_reconcile": """
@@ -452,13 +455,19 @@ select 'conversations', 'conv_' || cast(conv_id as varchar) || '_' || cast(turn
        cast(null as varchar), cast(length(text) as bigint) from conversations
 """,
     "landing_roundtrip": _landing_posts(),
+    "dead_letter": """
+select 'bad_timestamp:created_time' as rejection_reason, 'error' as message, count(*) as n_records, cast(null as bigint) as n_pages
+from events where user_id % 50 <> 0 and event_type = 'error'
+union all
+select 'malformed_json', null, null, count(distinct (user_id, cast(ts as date))) from events where user_id % 50 = 0
+""",
     "run_audit": f"""
 with p as ({_landing_posts()})
 select 'files' as stage, cast(count(distinct (user_id, cast(ts as date))) as bigint) as n_rows from events
-union all select 'bad_files', cast(0 as bigint)
-union all select 'records', cast(count(*) as bigint) from events
+union all select 'bad_files', cast(count(distinct (user_id, cast(ts as date))) as bigint) from events where user_id % 50 = 0
+union all select 'records', cast(count(*) as bigint) from events where user_id % 50 <> 0
 union all select 'valid', cast(count(*) as bigint) from p
-union all select 'rejected', cast((select count(*) from events) - count(*) as bigint) from p
+union all select 'rejected', cast(count(*) as bigint) from events where user_id % 50 <> 0 and event_type = 'error'
 union all select 'deduped', cast(count(distinct post_id) as bigint) from p
 """,
 }
