@@ -501,3 +501,36 @@ s as (select doc_id, lang, round(sum(cnt * ln((coalesce(c, 0) + 1) / den)), 6) a
 best as (select doc_id, lang as detected from s qualify row_number() over (partition by doc_id order by score desc, lang) = 1)
 select d.doc_id, d.lang, b.detected as detected_language from documents d left join best b using (doc_id)
 """
+
+ORACLE.update({
+    "composite_split": """
+select o_orderkey, case when o_orderstatus = 'F' then cast(o_custkey as varchar) end as page_part,
+       case when o_orderstatus = 'F' then cast(o_orderkey as varchar) end as post_part from orders
+""",
+    "counter_rules": """
+select o_orderkey, case when c < 0 then null else least(c, 2147483647) end as counter, c > 2147483647 as was_capped
+from (select o_orderkey, cast(trunc((o_totalprice - 100000) * 20000) as bigint) as c from orders)
+""",
+    "invisible_chars": """
+select doc_id, text, length(text) + 3 * (length(text) - length(replace(text, 'e', ''))) as n_before from documents
+""",
+    "mojibake_repair": "select doc_id, text, strlen(text) as n_before from documents",
+    "time_marks": f"select conv_id, turn, {_clean('text')} as text from conversations",
+    "granular_reactions": """
+select event_id, cast(user_id as varchar) as user_id, event_type as reaction_type from events where event_type <> 'error'
+""",
+    "legacy_likes": """
+select event_id, case when event_type = 'view' then user_id end as like_count, cast(null as varchar) as reason from events
+""",
+    "video_comments": """
+select 'youtube_' || conv_id || '-' || turn as comment_id, 'youtube_' || conv_id as post_id,
+       case when turn > 0 then 'youtube_' || conv_id || '-0' end as parent_comment_id, turn > 0 as is_reply,
+       turn as reaction_like, text as message
+from conversations where role <> 'system'
+""",
+    "microblog_posts": """
+select 'twitter_' || event_id as post_id, cast(user_id as varchar) as page_id, event_type as message,
+       date_trunc('second', ts) as created_time, user_id as reaction_like from events
+""",
+    "page_subset": "select doc_id, source from documents where source in ('src1', 'src3', 'src10')",
+})

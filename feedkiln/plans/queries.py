@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkiln import session
+from feedkiln.functions import numeric
 from feedkiln.functions import text as TX
 from feedkiln.functions import timefn as T
 from feedkiln.functions import variant as V
@@ -593,6 +594,89 @@ def q_run_audit(spark: SparkSession, d: str) -> DataFrame:
                                           for s in stages])).alias("s")).select("s.stage", "s.n_rows")
 
 
+# ---------------------------------------------------------------- connectors and single rules
+
+def q_composite_split(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-12 over order keys: finished orders have a composite id, the others a bare one."""
+    o = table(spark, d, "orders")
+    own = F.col("o_orderkey").cast("string")
+    comp = F.when(F.col("o_orderstatus") == "F", F.concat_ws("_", F.col("o_custkey").cast("string"), own)).otherwise(own)
+    page, post = canonical.split_composite_id(comp)
+    return o.select("o_orderkey", page.alias("page_part"), post.alias("post_part"))
+
+
+def q_counter_rules(spark: SparkSession, d: str) -> DataFrame:
+    """CLN-13/14: counters below zero, in range and beyond INT."""
+    c = ((F.col("o_totalprice") - 100000) * 20000).cast("bigint")
+    return table(spark, d, "orders").select("o_orderkey", numeric.clean_counter(c).cast("bigint").alias("counter"),
+                                            numeric.was_capped(c).alias("was_capped"))
+
+
+def q_invisible_chars(spark: SparkSession, d: str) -> DataFrame:
+    """CLN-7: zero-width and direction marks put into the texts are gone again."""
+    marked = F.replace("text", F.lit("e"), F.lit("e\u200b\u202e\u2066"))
+    return table(spark, d, "documents").select("doc_id", TX.drop_invisible(marked).alias("text"), F.length(marked).alias("n_before"))
+
+
+def q_mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
+    """CLN-9: UTF-8 texts read as Latin-1 come back; ASCII texts stay."""
+    broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+    return table(spark, d, "documents").select("doc_id", TX.repair_latin1_mojibake(broken).alias("text"), F.length(broken).alias("n_before"))
+
+
+def q_time_marks(spark: SparkSession, d: str) -> DataFrame:
+    """CLN-11: a time mark before each turn of a user goes."""
+    text = F.when(F.col("role") == "user", F.concat(F.lit("1:02:03 "), F.col("text"))).otherwise(F.col("text"))
+    return table(spark, d, "conversations").select("conv_id", "turn", TX.clean_ws(TX.strip_time_marks(text)).alias("text"))
+
+
+def q_granular_reactions(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-19: events as records with a list of reactions; errors carry none."""
+    one = F.array(F.struct(F.col("user_id").cast("string").alias("id"), F.upper("event_type").alias("type")))
+    rec = F.struct(F.struct(F.when(F.col("event_type") != "error", one).alias("data")).alias("reactions"))
+    recs = table(spark, d, "events").select("event_id", F.parse_json(F.to_json(rec)).alias("record"))
+    return marts.granular_reactions(recs, "event_id")
+
+
+def q_legacy_likes(spark: SparkSession, d: str) -> DataFrame:
+    """CLN-17: the old counter stands beside the new one; NULL when absent."""
+    rec = F.to_json(F.struct(F.when(F.col("event_type") == "view", F.col("user_id")).alias("like_count")))
+    ev = table(spark, d, "events").select("event_id", F.parse_json(rec).alias("v"))
+    sc = V.Scope()
+    likes, reason = canonical.legacy_like_count(sc, "v")
+    return sc.apply(ev).select("event_id", likes.alias("like_count"), reason.alias("reason"))
+
+
+def q_video_comments(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-16 + FIL-11: turns as comments of a video platform; those that its
+    moderation holds back are left out."""
+    c = table(spark, d, "conversations")
+    conv, turn = F.col("conv_id").cast("string"), F.col("turn").cast("string")
+    rec = F.struct(F.concat_ws("-", conv, turn).alias("id"), conv.alias("videoId"),
+                   F.when(F.col("turn") > 0, F.concat_ws("-", conv, F.lit("0"))).alias("parentId"),
+                   F.col("text").alias("textOriginal"), F.lit("2024-01-02T03:04:05Z").alias("publishedAt"),
+                   F.when(F.col("role") == "system", "heldForReview").alias("moderationStatus"), F.col("turn").alias("likeCount"))
+    recs = c.select(F.parse_json(F.to_json(rec)).alias("record"))
+    mapped = recs.select(*marts.map_video_comment(F.col("record"), F.lit("conversations")))
+    return incremental.exclude_moderated(mapped).select("comment_id", "post_id", "parent_comment_id", "is_reply", "reaction_like", "message")
+
+
+def q_microblog_posts(spark: SparkSession, d: str) -> DataFrame:
+    """PRJ-17: events as posts of a microblog with its own time format."""
+    ev = table(spark, d, "events")
+    rec = F.struct(F.col("event_id").cast("string").alias("id_str"),
+                   F.date_format("ts", "EEE MMM dd HH:mm:ss '+0000' yyyy").alias("created_at"), F.col("event_type").alias("text"),
+                   F.struct(F.col("user_id").cast("string").alias("id_str")).alias("user"), F.col("user_id").alias("favorite_count"))
+    recs = ev.select(F.parse_json(F.to_json(rec)).alias("record"))
+    return recs.select(*marts.map_microblog_post(F.col("record"), F.lit("events"))).select(
+        "post_id", "page_id", "message", F.col("created_time").cast("timestamp_ntz").alias("created_time"), "reaction_like")
+
+
+def q_page_subset(spark: SparkSession, d: str) -> DataFrame:
+    """FIL-6 over the documents of three sources."""
+    return incremental.page_subset(table(spark, d, "documents"), "source", ["src1", " src3", "", "src10 "]).select("doc_id", "source")
+
+
 # ---------------------------------------------------------------- streaming twins
 
 def q_stream_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -657,6 +741,16 @@ QUERIES = {
     "comments_per_post": q_comments_per_post,
     "multi_platform_union": q_multi_platform_union,
     "landing_roundtrip": q_landing_roundtrip,
+    "composite_split": q_composite_split,
+    "counter_rules": q_counter_rules,
+    "invisible_chars": q_invisible_chars,
+    "mojibake_repair": q_mojibake_repair,
+    "time_marks": q_time_marks,
+    "granular_reactions": q_granular_reactions,
+    "legacy_likes": q_legacy_likes,
+    "video_comments": q_video_comments,
+    "microblog_posts": q_microblog_posts,
+    "page_subset": q_page_subset,
     "dead_letter": q_dead_letter,
     "run_audit": q_run_audit,
     "stream_dedup": q_stream_dedup,
