@@ -232,3 +232,18 @@ def test_passages_of_awkward_rows(spark):
     assert got == {5, 6}
     assert sparse_suffix.report(docs_of(spark, []).limit(0)).count() == 0
     assert sparse_suffix.remove_repeats(docs_of(spark, AWKWARD)).count() == len(AWKWARD)
+
+
+def test_pieces_of_words_retain_the_same_windows(monkeypatch):
+    import pyarrow as pa
+    hashes, begin = common.hashed_words(pa.array([prose(i, 400) for i in range(5)] + ["w " * 300, None]))
+
+    def windows():
+        out = []
+        for gram, doc, start, digest, edge in sparse_suffix.retained(hashes, begin, 20, 6):
+            for k in range(len(gram)):
+                out += [(int(doc[k]), int(start[k]) + j, int(d), int(gram[k])) for j, d in enumerate(digest[edge[k]: edge[k + 1]])]
+        return sorted(out)
+    whole = windows()
+    monkeypatch.setattr(sparse_suffix, "WORDS", 100)
+    assert windows() == whole and len(whole) == sum(max(0, n - 19) for n in np.diff(begin))

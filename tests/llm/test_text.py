@@ -57,8 +57,7 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
     rows = contaminated_rows()
     want = collections.Counter((i, *windows_brute(t, bench_rows(), 10)) for i, t in rows)
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest_match"]
-    for shard, block in ((1 << 20, 16 << 20), (500, 16 << 20), (1 << 20, 100)):  # small shards; several benchmark blocks
-        monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+    for block in (16 << 20, 100):  # the second makes several benchmark blocks
         found = decontaminate.report(docs_of(spark, rows if block > 100 else [r for r in rows if r[0] not in (5, None)]), bench, 10)
         if block == 100:
             monkeypatch.setattr(decontaminate.benchmark_blocks, "__defaults__", (block,))
@@ -70,6 +69,27 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted(k[0] or 0 for k, n in want.items() for _ in range(n) if not k[5])
 
 
+def test_shards_of_words_find_the_same(monkeypatch):
+    from feedkiln.llm.common import hashed_words
+    ids, texts = zip(*[(str(i), t) for i, t in bench_rows() if i is not None and t], strict=True)
+    items = decontaminate.Items(list(ids), list(texts), 10)
+    hashes, begin = hashed_words(pa.array([t for _, t in contaminated_rows()]))
+    out = []
+    for shard in (1 << 20, 500, 37):
+        monkeypatch.setattr(decontaminate, "SHARD_WORDS", shard)
+        cover = np.zeros(len(hashes) + 1, np.int64)
+        runs = decontaminate.longest(decontaminate.find(hashes, begin, items, cover))
+        out.append((np.cumsum(cover).tolist(), runs.tolist()))
+    assert out[0] == out[1] == out[2] and len(out[0][1][0]) > 20
+
+
+def test_suffixes_stand_in_the_order_of_their_words():
+    code = np.random.default_rng(5).integers(0, 3, 400)
+    order = decontaminate.suffix_array(code, 27)
+    keys = [(*code[i: i + 27].tolist(), *[decontaminate.CODE] * (27 - len(code[i: i + 27]))) for i in order]
+    assert keys == sorted(keys) and sorted(order) == list(range(400))
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r["contaminated"] for r in decontaminate.report(docs_of(spark, AWKWARD), none).collect())
