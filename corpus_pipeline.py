@@ -28,6 +28,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     lines goes with them. ``n_chars`` follows the text."""
     prepare(spark)
     count = "_lines_removed"
+    while count in docs.columns:
+        count += "_"
     clean = line_dedup.dedup_lines(docs, min_lines=2, min_chars=100, removed=count)
     cut = F.col(count) > 0
     return (clean.filter(~cut | F.col("text").rlike(r"[^\x09-\x0D\x20]"))

@@ -350,6 +350,22 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         assert frame.schema.names == docs.schema.names and [f.dataType for f in frame.schema] == [f.dataType for f in docs.schema]
 
 
+def test_pipeline_of_empty_tables_and_clashing_columns(spark, tmp_path):
+    d = str(tmp_path)
+    cols = "doc_id long, text string, lang string, source string, n_chars long, _lines_removed string, n_tokens int, _doc int, u int, fold int"
+    rows = [(i, t, None, None, None, "x", 1, 2, 3, 4) for i, t in AWKWARD if i != 7]
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    for part in ([], rows):
+        docs = spark.createDataFrame(part, cols)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, d)
+            assert docs.schema.simpleString() == spark.createDataFrame([], cols).schema.simpleString()
+        out = corpus_pipeline.STAGES[-1][1](spark, docs, d).collect()
+        # one blank text stays for 1, 2, 3; 6 repeats 5; the row without an id stays
+        assert sorted(r["doc_id"] or 0 for r in out) == ([0, 1, 5, 5, 8, 9, 10, 11] if part else [])
+
+
 def test_every_operator_has_its_query():
     assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(corpus_pipeline.STAGES) == 5
