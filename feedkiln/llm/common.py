@@ -239,8 +239,13 @@ def fields(df: DataFrame, *names: str) -> list[T.StructField]:
     return [T.StructField(n, df.schema[n].dataType, True) for n in names]
 
 
-#: Settings of the operators: an Arrow batch holds a few MB however long the texts.
-CONF = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20), "spark.sql.execution.arrow.maxBytesPerOutputBatch": str(16 << 20)}
+#: Settings of the operators: an Arrow batch holds a few MB however long the
+#: texts, and what AQE may broadcast stays small beside the driver's memory.
+CONF = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.execution.arrow.maxBytesPerOutputBatch": str(8 << 20),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(8 << 20),
+}
 
 
 def prepare(spark) -> None:
