@@ -10,8 +10,10 @@ benchmark goes to the documents, in blocks of bounded size.
 Defined results: a null or empty text has no words and is clean; an item of
 fewer words than the window is one window of its own length; an item without
 words, or with a null id, matches nothing; repeated item ids count once; an
-empty benchmark leaves every document clean; document columns other than the
-id and the text are neither read nor changed, so their names cannot clash.
+empty benchmark leaves every document clean; every row of the documents gives
+one row, also if its id is null or repeated and however large the benchmark is;
+document columns other than the id and the text are neither read nor changed, so
+their names cannot clash.
 """
 
 from __future__ import annotations
@@ -187,7 +189,7 @@ def longest(found: list[np.ndarray]) -> np.ndarray:
 MATCH = pa.struct([("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())])
 
 
-def _scan(batches: Iterator[pa.RecordBatch], text: str, ident: str, bench) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], text: str, keep: list[str], bench) -> Iterator[pa.RecordBatch]:
     items = Items(*bench.value)
     for batch in batches:
         for part in slices(batch, text):
@@ -198,8 +200,8 @@ def _scan(batches: Iterator[pa.RecordBatch], text: str, ident: str, bench) -> It
             starts = np.searchsorted(runs[0], np.arange(part.num_rows + 1))
             matches = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.StructArray.from_arrays(
                 [pa.array(items.ids[runs[1]].tolist(), pa.string()), *(pa.array(x) for x in runs[2:])], fields=list(MATCH)))
-            yield pa.record_batch([part[ident], pa.array(np.diff(begin)), pa.array(hits[begin[1:]] - hits[begin[:-1]]), matches],
-                                  names=[ident, "n_words", "n_hit", "matches"])
+            yield pa.record_batch([*(part[c] for c in keep), pa.array(np.diff(begin)), pa.array(hits[begin[1:]] - hits[begin[:-1]]), matches],
+                                  names=[*keep, "n_words", "n_hit", "matches"])
 
 
 def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[tuple[list[str], list[str]]]:
@@ -216,21 +218,39 @@ def benchmark_blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator
     yield ids, texts
 
 
+def whole_items(blocks: Iterator[tuple[list[str], list[str]]]) -> Iterator[tuple[list[str], list[str]]]:
+    """Blocks of items in the order of their ids, moved so that none ends within an id."""
+    ids, texts = next(blocks)
+    for more_ids, more_texts in blocks:
+        cut = ids.index(ids[-1]) if more_ids and more_ids[0] == ids[-1] else len(ids)
+        if cut and more_ids:
+            yield ids[:cut], texts[:cut]
+            ids, texts = ids[cut:], texts[cut:]
+        ids, texts = ids + more_ids, texts + more_texts
+    yield ids, texts
+
+
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """One row per document: ``ident``, ``n_words``, ``n_hit`` and ``matches``
+    """One row per row of ``docs``: ``ident``, ``n_words``, ``n_hit`` and ``matches``
     (item id, word in the item, word in the document, length of the longest
     verbatim match there). A benchmark of more than ``BLOCK_BYTES`` takes
-    several passes, whose matches are united by document."""
-    schema = T.StructType([*fields(docs, ident), T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
-                           T.StructField("matches", T.ArrayType(T.StructType([
-                               T.StructField("item_id", T.StringType()), T.StructField("item_word", T.LongType()),
-                               T.StructField("doc_word", T.LongType()), T.StructField("n_words", T.LongType())])))])
-    slim = docs.select(ident, text)
-    parts = []
-    for ids, texts in benchmark_blocks(benchmark):
-        bench = docs.sparkSession.sparkContext.broadcast((ids, texts, window))
-        parts.append(slim.mapInArrow(lambda it, b=bench: _scan(it, text, ident, b), schema))
-    return parts[0] if len(parts) == 1 else united(reduce(DataFrame.union, parts), ident)
+    several passes over numbered rows, whose matches are united by that number."""
+    found = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+             T.StructField("matches", T.ArrayType(T.StructType([
+                 T.StructField("item_id", T.StringType()), T.StructField("item_word", T.LongType()),
+                 T.StructField("doc_word", T.LongType()), T.StructField("n_words", T.LongType())])))]
+    blocks = [docs.sparkSession.sparkContext.broadcast((ids, texts, window))
+              for ids, texts in whole_items(benchmark_blocks(benchmark.orderBy("item_id")))]
+    slim, keep = docs.select(ident, text), [ident]
+    if len(blocks) > 1:
+        row = "_row"
+        while row in (ident, text):
+            row += "_"
+        # the numbers are stored, so that all passes see the same ones
+        slim, keep = slim.withColumn(row, F.monotonically_increasing_id()).checkpoint(), [ident, row]
+    schema = T.StructType([*fields(slim, *keep), *found])
+    parts = [slim.mapInArrow(lambda it, b=b: _scan(it, text, keep, b), schema) for b in blocks]
+    return parts[0] if len(parts) == 1 else united(reduce(DataFrame.union, parts), ident, row)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -243,8 +263,8 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str =
         F.coalesce(F.array_max(F.col("matches.n_words")), F.lit(0)).alias("longest_match"))
 
 
-def united(found: DataFrame, ident: str) -> DataFrame:
-    """Rows of several benchmark blocks joined to one row per document; the
+def united(found: DataFrame, ident: str, row: str) -> DataFrame:
+    """Rows of several benchmark blocks joined to one row per document row; the
     words hit are counted over the union of the match intervals."""
     runs = F.array_sort(F.flatten(F.collect_list("matches")), lambda a, b: F.coalesce(
         F.nullif(F.signum(a["doc_word"] - b["doc_word"]), F.lit(0.0)), F.lit(0.0)).cast("int"))
@@ -252,7 +272,7 @@ def united(found: DataFrame, ident: str) -> DataFrame:
     hit = F.aggregate("matches", zero, lambda s, m: F.struct(
         (s["n"] + F.greatest(F.lit(0), m["doc_word"] + m["n_words"] - F.greatest(s["end"], m["doc_word"]))).alias("n"),
         F.greatest(s["end"], m["doc_word"] + m["n_words"]).alias("end")))["n"]
-    return found.groupBy(ident).agg(F.max("n_words").alias("n_words"), runs.alias("matches")).select(
+    return found.groupBy(row).agg(F.first(ident).alias(ident), F.max("n_words").alias("n_words"), runs.alias("matches")).select(
         ident, "n_words", hit.alias("n_hit"), "matches")
 
 

@@ -69,6 +69,19 @@ def test_decontamination_against_brute_force(spark, monkeypatch):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == sorted(k[0] or 0 for k, n in want.items() for _ in range(n) if not k[5])
 
 
+def test_benchmark_blocks_keep_every_row(spark, monkeypatch):
+    a, b = prose(1, 30, ends=False), prose(2, 12, ends=False)
+    rows = contaminated_rows() + [(None, a), (None, b), (None, None), (300, a), (300, b + " " + b), (300, a)]
+    # item 1 has two texts whose windows follow on along one diagonal
+    bench = [*bench_rows(), (1, " ".join(["q"] * 15 + a.split()[15:] + ["q"] * 9))]
+    docs, items = docs_of(spark, rows), spark.createDataFrame(bench, "item_id long, text string")
+    whole = collections.Counter(map(tuple, decontaminate.report(docs, items, 10).collect()))
+    monkeypatch.setattr(decontaminate.benchmark_blocks, "__defaults__", (100,))
+    assert len(list(decontaminate.whole_items(decontaminate.benchmark_blocks(items.orderBy("item_id"))))) > 2
+    assert collections.Counter(map(tuple, decontaminate.report(docs, items, 10).collect())) == whole
+    assert sum(whole.values()) == len(rows)
+
+
 def test_shards_of_words_find_the_same(monkeypatch):
     from feedkiln.llm.common import hashed_words
     ids, texts = zip(*[(str(i), t) for i, t in bench_rows() if i is not None and t], strict=True)
