@@ -9,13 +9,16 @@ run, added up over the runs.
 
 It is trained in numpy by backpropagation through time (Adam) on the most
 frequent runs of at most ``MAX_DOCS`` labelled documents, each run with the
-languages that it was seen in; the rest of the corpus is only predicted.
+languages that it was seen in; the rest of the corpus is only predicted. Both
+bounds are shared out among the languages: each gets the same quota of documents
+and of runs, and what a rare one leaves over goes to the others.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0,
-and so is every text when nothing could be learned; labels other than the
-``MAX_LANGS`` most frequent ones of the training rows are not learned; ties go to
-the first language in alphabetical order; columns other than the id, the text
-and (for training rows) the label are not read.
+and so is every text when nothing could be learned; every label of the training
+rows that has a text with a letter is learned, and more than ``MAX_LANGS`` labels
+are an error; training rows with equal id and label count once, rows with a null
+id once per text; ties go to the first language in alphabetical order; columns
+other than the id, the text and (for training rows) the label are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,16 +220,41 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                pa.array([n for _, n in part], pa.int64())], names=["run", "lang", "n"])
 
 
+def quotas(have: dict[str, int], limit: int) -> dict[str, int]:
+    """Shares of ``limit`` (one at least): equal, but none more than it has."""
+    out: dict[str, int] = {}
+    for i, k in enumerate(sorted(have, key=lambda k: (have[k], k))):
+        out[k] = max(1, min(have[k], (limit - sum(out.values())) // (len(have) - i)))
+    return out
+
+
+def first_rows(rows: DataFrame, quota: dict[str, int], *order: Column) -> DataFrame:
+    """The first rows of each language, as many as its quota."""
+    quota_of = F.create_map(*(F.lit(x) for kv in quota.items() for x in kv))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
+    return rows.withColumn("place", place).filter(F.col("place") <= quota_of[F.col("lang")]).drop("place")
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", ident: str = "doc_id", max_docs: int = MAX_DOCS,
         max_runs: int = MAX_RUNS) -> Network:
-    """Network trained on the rows with the lowest hashes of their ids."""
-    ids = labelled.filter(F.col(label).isNotNull()).select(ident).distinct().orderBy(F.xxhash64(ident), ident).limit(max_docs)
-    rows = (labelled.select(F.col(ident), F.col(text).alias("text"), F.col(label).cast("string").alias("lang")).filter("lang is not null")
-            .join(F.broadcast(ids), ident).select("text", "lang"))  # at most max_docs ids
-    counts = rows.mapInArrow(_counts, "run binary, lang string, n long").groupBy("run", "lang").agg(F.sum("n").alias("n")).checkpoint()
-    langs = sorted(r["lang"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
-    counts = counts.filter(F.col("lang").isin(langs))
-    top = counts.groupBy("run").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), F.xxhash64("run")).limit(max_runs)
+    """Network trained on the rows of each language with the lowest hashes of their ids."""
+    key = F.when(F.col(ident).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(ident))
+    rows = (labelled.filter(F.col(label).isNotNull() & F.col(text).rlike(r"[A-Za-z\x{80}-\x{10FFFF}]"))
+            .select(key.alias("key"), F.col(text).alias("text"), F.col(label).cast("string").alias("lang")))
+    have = {r["lang"]: max(1, r["n"]) for r in
+            rows.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(have) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages in the training rows")
+    if not have:
+        return Network([])
+    langs, quota = sorted(have), quotas(have, max_docs)
+    # about twice the quota by a bound on the hash; the lowest of these are taken
+    bound = F.create_map(*(F.lit(x) for k in langs for x in (k, (2.0 * quota[k] + 64) / have[k])))
+    near = rows.filter(F.col("key").cast("double") / 2.0 ** 64 + 0.5 < bound[F.col("lang")])
+    taken = first_rows(near.groupBy("lang", "key").agg(F.min("text").alias("text")), quota, F.col("key")).select("text", "lang")
+    counts = taken.mapInArrow(_counts, "run binary, lang string, n long").groupBy("run", "lang").agg(F.sum("n").alias("n")).checkpoint()
+    quota = quotas({r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.count("*").alias("n")).collect()}, max_runs)
+    top = first_rows(counts, quota, F.desc("n"), F.xxhash64("run"), F.col("run")).select("run").distinct()
     got = counts.join(F.broadcast(top), "run").collect()  # at most max_runs * MAX_LANGS counts
     runs = sorted({bytes(r["run"]) for r in got})
     place = {r: i for i, r in enumerate(runs)}

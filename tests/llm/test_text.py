@@ -221,6 +221,32 @@ def test_language_of_held_out_documents(spark):
     assert language_gru.label_positions(net, "der schung")[0][0] == 0
 
 
+def test_rare_languages_are_learned(spark):
+    r = random.Random(12)
+    rows = [(i, prose(i, 40), "ab"[i % 2]) for i in range(600)]
+    rows = [(i, t if lang == "a" else " ".join("".join(r.choice("uvwxyz") for _ in range(4)) for _ in t.split()), lang) for i, t, lang in rows]
+    # few documents without spaces, so their runs are mostly unique; one has no id
+    rare = [(1000 + i, "".join(r.choice("漢字仮名交文") for _ in range(80)), "c") for i in range(3)]
+    one = " ".join("".join(r.choice("жклмнр") for _ in range(4)) for _ in range(60))
+    rows += rare + [(None, one, "d"), (2000, None, "e"), (2001, "123", "e")]
+    net = language_gru.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_docs=60, max_runs=400)
+    assert net.languages == ["a", "b", "c", "d"]
+    said = [(i, t) for i, t, _ in rare] + [(3000, one), (3001, prose(7, 40)), (3002, "uvxw zyxu wwvu")]
+    got = {g["doc_id"]: g["lang_pred"] for g in language_gru.predict(docs_of(spark, said), net).collect()}
+    assert got == {1000: "c", 1001: "c", 1002: "c", 3000: "d", 3001: "a", 3002: "b"}
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = [(i, prose(i, 5), f"l{i}") for i in range(language_gru.MAX_LANGS + 1)]
+    with pytest.raises(ValueError, match="languages"):
+        language_gru.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+
+def test_quotas_share_the_bound():
+    assert language_gru.quotas({"a": 100_000, "b": 5, "c": 3000}, 4000) == {"b": 5, "c": 1997, "a": 1998}
+    assert language_gru.quotas({"a": 1, "b": 9, "c": 9}, 2) == {"a": 1, "b": 1, "c": 1}
+
+
 def test_language_without_training_rows(spark):
     none = language_gru.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     got = language_gru.predict(docs_of(spark, AWKWARD), none).collect()
