@@ -160,12 +160,15 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text
     out = f"doc {kind}, start long, end long, later boolean"
     found = met.mapInArrow(lambda it: _compare(it, min_words), out)
     if grams:
-        windows = slim.mapInArrow(lambda it: _hot_windows(it, text, ident, min_words, gram, known), f"doc {kind}, start long, window long").checkpoint()
-        first = windows.groupBy("window").agg(F.count("*").alias("n"), F.min(F.struct("doc", "start")).alias("first")).filter("n > 1")
-        hit = windows.join(first, "window")
+        windows = slim.mapInArrow(lambda it: _hot_windows(it, text, ident, min_words, gram, known), f"doc {kind}, start long, window long")
+        # equal places are rows with one id: all but one of them are later copies
+        places = windows.groupBy("window", "doc", "start").agg(F.count("*").alias("rows")).checkpoint()
+        first = places.groupBy("window").agg(F.sum("rows").alias("n"), F.min(F.struct("doc", "start", "rows")).alias("first")).filter("n > 1")
+        hit = places.join(first, "window")
         end = F.col("start") + min_words
+        later = (F.struct("doc", "start") != F.struct("first.doc", "first.start")) | (F.col("first.rows") > 1)
         found = (found.union(hit.select("doc", "start", end, F.lit(False)))
-                 .union(hit.filter(F.struct("doc", "start") != F.col("first")).select("doc", "start", end, F.lit(True))))
+                 .union(hit.filter(later).select("doc", "start", end, F.lit(True))))
     return found
 
 

@@ -234,6 +234,17 @@ def test_passages_of_awkward_rows(spark):
     assert sparse_suffix.remove_repeats(docs_of(spark, AWKWARD)).count() == len(AWKWARD)
 
 
+def test_hot_passages_of_repeated_rows(spark):
+    long = prose(31, 40, ends=False)
+    rows = AWKWARD + [(20, long), (20, long), (20, "pre " + long), (21, long), (22, prose(32, 40)), (22, prose(32, 40))]
+    # one id with a passage at one place of two texts
+    rows += [(23, prose(33, 40, ends=False) + " left"), (23, prose(33, 40, ends=False) + " right")]
+    cold, hot = (sorted(map(tuple, sparse_suffix.report(docs_of(spark, rows), 20, 6, hot=h).collect())) for h in (10_000_000, 1))
+    assert hot == cold
+    gone = {r[0]: r[2] for r in hot}
+    assert gone[5] == 70 and gone[20] >= 40 and gone[22] == gone[23] == 40
+
+
 def test_pieces_of_words_retain_the_same_windows(monkeypatch):
     import pyarrow as pa
     hashes, begin = common.hashed_words(pa.array([prose(i, 400) for i in range(5)] + ["w " * 300, None]))
