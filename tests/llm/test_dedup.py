@@ -168,6 +168,29 @@ def test_line_dedup_against_brute_force(spark):
             sorted((i or 0, t or "", n) for i, t, n in lines_brute(rows, m))
 
 
+def test_windows_delete_what_maximal_runs_delete(spark):
+    rows = [(i, t) for i, t in sorted({(i, t) for i, t in line_rows() if i is not None and t is not None})]
+    seqs = {r: [p for p, x in enumerate(r[1].split("\n")) if re.search(r"[^\x09-\x0D\x20]", x)] for r in rows}
+    places = collections.defaultdict(list)
+    for r, at in seqs.items():
+        lines = r[1].split("\n")
+        for a in range(len(at)):
+            for b in range(a + 1, len(at) + 1):
+                places[tuple(lines[p] for p in at[a:b])].append((r, a))
+    longer = collections.Counter()  # the most copies of a run with one more line on either side
+    for run, found in places.items():
+        for part in (run[1:], run[:-1]):
+            longer[part] = max(longer[part], len(found))
+    gone = collections.defaultdict(set)
+    for run, found in places.items():
+        if len(run) >= 2 and len(found) > max(1, longer[run]):
+            for r, a in found[1:]:
+                gone[r].update(seqs[r][a: a + len(run)])
+    want = sorted((i, "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone[i, t]), len(gone[i, t])) for i, t in rows)
+    got = line_dedup.dedup_lines(docs_of(spark, rows), min_chars=10 ** 9, removed="gone")
+    assert sorted((r["doc_id"], r["text"], r["gone"]) for r in got.collect()) == want and any(n for _, _, n in want)
+
+
 def test_complete_suffix_array(spark):
     rows = [(i, t) for i, t in line_rows() if i is not None and t is not None][:40]
     ranks, depth = line_dedup.suffix_ranks(line_dedup.first_ranks(docs_of(spark, rows)))
