@@ -7,8 +7,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feedkiln import session
 from feedkiln.llm import (
-    byte_bpe, decontaminate, embedding_dedup, kd_shard, language_gru, line_dedup, pii_crf, simhash_bk, sparse_suffix, toxicity_gbt,
+    byte_bpe, decontaminate, embedding_dedup, kd_shard, language_gru, line_dedup, pii_crf, simhash_bk, sparse_suffix, token_align, toxicity_gbt,
+    turn_repair, warc,
 )
 from feedkiln.llm.common import crc, read
 
@@ -76,9 +78,31 @@ def op10_toxicity(spark, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(F.pmod(crc("doc_id"), F.lit(5)) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_token_alignment(spark, sf_dir: str) -> DataFrame:
+    """Token groups of a byte-level BPE and a piece model over all documents,
+    with how often their token pairs end together in the whole corpus."""
+    return token_align.report(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_warc(spark, sf_dir: str) -> DataFrame:
+    """All pages written to WARC archives and read back by byte ranges."""
+    pages = read(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType.simpleString()
+    path = session.scratch_path(spark, "warc")
+    warc.write_archive(pages, path, min_bytes=100)
+    return warc.read_archive(spark, path, payloads=False).select(
+        warc.id_of(F.col("record_id"), kind).alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"),
+        warc.id_of(F.col("refers_to"), kind).alias("refers_to"))
+
+
+def op13_conversation_repair(spark, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of all conversations after known damage."""
+    return turn_repair.report(turn_repair.damage(read(spark, sf_dir, "conversations")), copies="copies")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_kd_tree_sharding, op3_benchmark_decontamination, op4_byte_bpe, op5_language_id, op6_line_dedup,
-    op7_simhash_bk_tree, op8_sparse_suffix_dedup, op9_pii_crf, op10_toxicity)}
+    op7_simhash_bk_tree, op8_sparse_suffix_dedup, op9_pii_crf, op10_toxicity, op11_token_alignment, op12_warc, op13_conversation_repair)}
 
 ORACLE: dict[str, str] = {}
 
@@ -154,3 +178,63 @@ select doc_id, cast(sum(case when not later then e - s else 0 end) as bigint) as
        coalesce(string_agg(s || ':' || e, ',' order by s) filter (later), '') as removed
 from span group by doc_id
 """
+
+ORACLE["op12_warc"] = """
+with p as (select page_id, coalesce(html, '') as h from pages),
+grp as (select sha256(h) as d, min(page_id) as first, count(*) as n from p where strlen(h) >= 100 group by 1)
+select page_id, cast(strlen(h) as bigint) as payload_bytes, sha256(h) as payload_digest,
+       case when n > 1 and page_id is distinct from first and first is not null then 'revisit' else 'response' end as record_type,
+       case when n > 1 and page_id is distinct from first then first end as refers_to
+from p left join grp on d = sha256(h) and strlen(h) >= 100
+"""
+
+#: The grammar's four states as structs (cost, edits, repaired rows), advanced row by row.
+ORACLE["op13_conversation_repair"] = r"""
+with recursive keyed as (
+  select dense_rank() over (order by conv_id nulls first) as g, conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key from conversations),
+dealt as (select *, xor(list_reduce(list_prepend(cast(4294967295 as bigint), list_transform(string_split(key, ''), lambda x: cast(ord(x) as bigint))),
+                                    lambda c, b: list_reduce(list_prepend(xor(c, b), cast([1, 1, 1, 1, 1, 1, 1, 1] as bigint[])),
+                                                             lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 20 as k from keyed),
+damaged as (select g, turn, case when k = 4 then 'user' else role end as role,
+                   case when k = 1 then '' when k = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+                   unnest(range(case when k = 0 then 0 when k = 3 then 2 else 1 end)) as copy from dealt),
+placed as (select *, row_number() over (partition by g order by turn nulls first, role, text, copy) as i from damaged),
+told as (select *, not regexp_matches(text, '[^\x20\x09-\x0D]') as blank, row_number() over (partition by g, role, text order by i) > 1 as again,
+                not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') as open_end, lag(role) over (partition by g order by i) as before from placed),
+faults as (select g, cast(max(turn) - min(turn) + 1 - count(distinct turn) as bigint) as gaps, count(*) filter (blank) as blank,
+                  count(*) filter (again and not blank) as duplicate, count(*) filter (open_end and not again and not blank) as truncated,
+                  count(*) filter (i > 1 and left(before, 1) || left(role, 1) not in ('su', 'ua', 'au')) as illegal from told group by g),
+step as (
+  select distinct g, cast(0 as bigint) as i, {'c': cast(0 as bigint), 'a': '', 'r': cast([] as varchar[])} as s0,
+         cast(null as struct(c bigint, a varchar, r varchar[])) as s1, cast(null as struct(c bigint, a varchar, r varchar[])) as s2,
+         cast(null as struct(c bigint, a varchar, r varchar[])) as s3 from keyed
+  union all
+  select g, i, list_min([case when s0.c is not null then {'c': s0.c + 2, 'a': s0.a || 'D', 'r': s0.r} end]),
+         list_min([case when s1.c is not null then {'c': s1.c + 2, 'a': s1.a || 'D', 'r': s1.r} end,
+                   case when s0.c is not null and not gone and left(role, 1) = 's' then {'c': s0.c + x, 'a': s0.a || 'K', 'r': list_append(s0.r, role || ':' || text)} end]),
+         list_min([case when u.c is not null then {'c': u.c + 2, 'a': u.a || 'D', 'r': u.r} end,
+                   case when s0.c is not null and not gone and left(role, 1) = 'u' then {'c': s0.c + x, 'a': s0.a || 'K', 'r': list_append(s0.r, role || ':' || text)} end,
+                   case when s1.c is not null and not gone and left(role, 1) = 'u' then {'c': s1.c + x, 'a': s1.a || 'K', 'r': list_append(s1.r, role || ':' || text)} end,
+                   case when v.c is not null and not gone and left(role, 1) = 'u' then {'c': v.c + x, 'a': v.a || 'K', 'r': list_append(v.r, role || ':' || text)} end,
+                   case when s0.c is not null and not gone then {'c': s0.c + x + 1, 'a': s0.a || 'R', 'r': list_append(s0.r, 'user:' || text)} end,
+                   case when s1.c is not null and not gone then {'c': s1.c + x + 1, 'a': s1.a || 'R', 'r': list_append(s1.r, 'user:' || text)} end,
+                   case when v.c is not null and not gone then {'c': v.c + x + 1, 'a': v.a || 'R', 'r': list_append(v.r, 'user:' || text)} end]),
+         list_min([case when v.c is not null then {'c': v.c + 2, 'a': v.a || 'D', 'r': v.r} end,
+                   case when u.c is not null and not gone and left(role, 1) = 'a' then {'c': u.c + x, 'a': u.a || 'K', 'r': list_append(u.r, role || ':' || text)} end,
+                   case when u.c is not null and not gone then {'c': u.c + x + 1, 'a': u.a || 'R', 'r': list_append(u.r, 'assistant:' || text)} end])
+  from (select *, list_min([s3, case when u.c is not null then {'c': u.c + 5, 'a': u.a || 'I', 'r': list_append(u.r, 'assistant:')} end]) as v
+        from (select t.g, t.i, t.role, t.text, t.blank or t.again as gone, case when t.open_end then 5 else 0 end as x, s0, s1, s3,
+                     list_min([s2, case when s0.c is not null then {'c': s0.c + 5, 'a': s0.a || 'I', 'r': list_append(s0.r, 'user:')} end,
+                               case when s1.c is not null then {'c': s1.c + 5, 'a': s1.a || 'I', 'r': list_append(s1.r, 'user:')} end,
+                               case when s3.c is not null then {'c': s3.c + 5, 'a': s3.a || 'I', 'r': list_append(s3.r, 'user:')} end]) as u
+              from step join told t on t.g = step.g and t.i = step.i + 1))),
+ended as (select g, list_min([s0, s3, case when u.c is not null then {'c': u.c + 5, 'a': u.a || 'I', 'r': list_append(u.r, 'assistant:')} end]) as w
+          from (select *, list_min([s2, case when s0.c is not null then {'c': s0.c + 5, 'a': s0.a || 'I', 'r': list_append(s0.r, 'user:')} end,
+                                    case when s1.c is not null then {'c': s1.c + 5, 'a': s1.a || 'I', 'r': list_append(s1.r, 'user:')} end,
+                                    case when s3.c is not null then {'c': s3.c + 5, 'a': s3.a || 'I', 'r': list_append(s3.r, 'user:')} end]) as u
+                from (select step.* from step left join (select g, max(i) as n from told group by g) m using (g) where step.i = coalesce(n, 0))))
+select conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+       coalesce(illegal, 0) as illegal, w.c as cost, w.a as audit, sha256(array_to_string(w.r, chr(10))) as repaired_sha256
+from (select distinct g, conv_id from keyed) join ended using (g) left join faults using (g)
+"""
