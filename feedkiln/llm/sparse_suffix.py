@@ -4,15 +4,18 @@ Of all suffixes of the documents' word sequences, those at minimiser positions
 are retained: of every ``min_words - gram + 1`` consecutive word n-grams, the one
 with the smallest hash. Which positions these are depends on the words alone, so
 two copies of a passage of ``min_words`` words retain a suffix at the same place
-inside it. The retained suffixes are sorted by the n-gram they start with; each
-carries digests of the ``min_words``-word windows that its position was chosen
-for, which reach left and right of it. Neighbours in the order are compared
-window by window, and the match is extended left and right over all windows that
-agree, so a repeated passage is found with its whole length.
-
-An n-gram that more than ``HOT`` suffixes start with is not gathered in one
-place: the windows of its suffixes are counted by their own digests, aggregated
-before the shuffle, and joined back.
+inside it. Each suffix carries digests of the ``min_words``-word windows that its
+position was chosen for, which reach left and right of it, and one digest of
+all of them. Suffixes whose n-gram occurs once drop out before anything is
+shuffled as long as the list of the others is small (checked).
+
+The others are sorted by n-gram and by what is around it, and equal neighbours are
+copies: the first in document order stands for all of them, the rest are
+later copies with all their words. Where an n-gram stands in different
+surroundings, the match of those first ones is extended left and right over the
+windows that agree, again by sorting and comparing neighbours. No step gathers the
+suffixes of an n-gram: copies are counted before the shuffle and told by a
+join whose hot keys AQE splits.
 
 Defined results: null texts and texts of fewer than ``min_words`` words hold no
 passage; repeats inside one document count; the first copy (smallest id, then
@@ -26,17 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedkiln import session
 from feedkiln.llm.common import (
     LOWER, complete_groups, hashed_words, mix64, powers, ranges, slices, text_buffer, word_bounds,
 )
 
 MIN_WORDS, GRAM = 50, 10
-#: Suffixes with one n-gram that a task may gather; n-grams treated as hot at most.
-HOT, MOST_HOT = 20_000, 1_000_000
+#: Keys of copies that are sent to all tasks at most; more are joined by a shuffle.
+SMALL = 500_000
 #: Words worked on at once.
 WORDS = 1 << 20
 _ODD = 0xBF58476D1CE4E5B9
@@ -79,131 +83,107 @@ def retained(hashes: np.ndarray, begin: np.ndarray, min_words: int, gram: int) -
         yield g[place[first]], d, valid[first] + s - begin[d], digests(h, min_words)[valid], np.append(first, len(valid))
 
 
+def runs(windows: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """A digest of each suffix's windows: of all words around it."""
+    size = np.diff(edge)
+    at = ranges(np.zeros(len(size), np.int64), size)
+    total = np.add.reduceat(windows * powers(_ODD, int(size.max()))[at], edge[:-1])
+    return mix64(total + size.astype(np.uint64))
+
+
 def _grams(batches: Iterator[pa.RecordBatch], text: str, min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, text):
-            for key, *_ in retained(*hashed_words(part[text]), min_words, gram):
-                k, n = np.unique(key, return_counts=True)
-                yield pa.record_batch([pa.array(k.view(np.int64)), pa.array(n)], names=["gram", "n"])
+            for key, _, _, windows, edge in retained(*hashed_words(part[text]), min_words, gram):
+                yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(runs(windows, edge).view(np.int64))], names=["gram", "around"])
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], text: str, ident: str, min_words: int, gram: int, hot) -> Iterator[pa.RecordBatch]:
+def _suffixes(batches: Iterator[pa.RecordBatch], text: str, ident: str, min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, text):
             for key, doc, start, windows, edge in retained(*hashed_words(part[text]), min_words, gram):
-                cold = np.flatnonzero(~np.isin(key, hot.value))
-                if not len(cold):
-                    continue
-                size = np.diff(edge)[cold]
-                held = windows[ranges(edge[:-1][cold], size)]
-                off = pa.py_buffer(np.concatenate([[0], np.cumsum(8 * size)]).astype(np.int32).tobytes())
-                yield pa.record_batch([part[ident].take(pa.array(doc[cold])), pa.array(start[cold]), pa.array(key[cold].view(np.int64)),
-                                       pa.Array.from_buffers(pa.binary(), len(cold), [None, off, pa.py_buffer(held.tobytes())])],
-                                      names=["doc", "start", "gram", "windows"])
-
-
-def _hot_windows(batches: Iterator[pa.RecordBatch], text: str, ident: str, min_words: int, gram: int, hot) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, text):
-            for key, doc, start, windows, edge in retained(*hashed_words(part[text]), min_words, gram):
-                rows = np.flatnonzero(np.isin(key, hot.value))
-                size = np.diff(edge)[rows]
-                yield pa.record_batch([part[ident].take(pa.array(np.repeat(doc[rows], size))),
-                                       pa.array(np.repeat(start[rows], size) + ranges(np.zeros(len(rows), np.int64), size)),
-                                       pa.array(windows[ranges(edge[:-1][rows], size)].view(np.int64))], names=["doc", "start", "window"])
-
-
-def joined(row: np.ndarray, start: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows, sorted by row and start, joined to passages where they follow on."""
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(row))[: len(first)] - 1
-    return row[first], start[first], start[last] + min_words
-
-
-def _compare(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    for t in complete_groups(batches, ["gram"]):
-        column = t["windows"].combine_chunks()
-        off = np.frombuffer(column.buffers()[1], np.int32)[column.offset: column.offset + len(column) + 1]
-        window = np.frombuffer(column.buffers()[2], np.uint64)[off[0] // 8: off[-1] // 8]
-        size = np.diff(off) // 8
-        row = np.repeat(np.arange(t.num_rows), size)
-        gram = t["gram"].to_numpy()[row]
-        start = t["start"].to_numpy()[row] + ranges(np.zeros(t.num_rows, np.int64), size)
-        # rows come sorted by document within an n-gram: a stable sort puts the first copy first
-        order = np.lexsort((window, gram))
-        same = (window[order][1:] == window[order][:-1]) & (gram[order][1:] == gram[order][:-1])
-        repeated, later = np.zeros(len(row), bool), np.zeros(len(row), bool)
-        repeated[order[1:][same]] = repeated[order[:-1][same]] = True
-        later[order[1:][same]] = True
-        for flag, which in ((repeated, False), (later, True)):
-            at = np.flatnonzero(flag)
-            r, a, b = joined(row[at], start[at], min_words)
-            yield pa.record_batch([t["doc"].combine_chunks().take(pa.array(r)), pa.array(a), pa.array(b), pa.array([which] * len(r), pa.bool_())],
-                                  names=["doc", "start", "end", "later"])
-
-
-def passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id",
-             hot: int = HOT) -> DataFrame:
+                rows = pa.array(doc)
+                yield pa.record_batch([part[ident].take(rows), part["_row"].take(rows), pa.array(start), pa.array(key.view(np.int64)),
+                                       pa.array(runs(windows, edge).view(np.int64)),
+                                       pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(windows.view(np.int64)))],
+                                      names=["doc", "row", "start", "gram", "around", "windows"])
+
+
+def _marked(rows: DataFrame, keys: list[str], size: Column) -> tuple[DataFrame, DataFrame]:
+    """Copies among ``rows`` (equal ``keys``): (pieces of passages, the rows with
+    ``first``: null for a row without copies, else whether it is the first)."""
+    place = F.struct("doc", "start", "row")
+    copies = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).filter("n > 1").drop("n").checkpoint()
+    told = rows.join(F.broadcast(copies) if copies.count() <= SMALL else copies, keys, "left")
+    told = told.withColumn("first", F.when(F.col("least").isNotNull(), place == F.col("least"))).drop("least")
+    # a row is repeated, and all but the first copy are later ones
+    pieces = told.filter(F.col("first").isNotNull()).select("doc", "start", (F.col("start") + size).alias("end"), (~F.col("first")).alias("later"))
+    return pieces, told
+
+
+def passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """(doc, start, end, later): pieces of repeated passages in words; they may
-    overlap. ``later`` false: any copy; true: copies after the first."""
+    overlap. ``later``: a copy after the first, which is a repeat as well."""
     spark = docs.sparkSession
     slim = docs.filter(F.col(ident).isNotNull()).select(ident, text)
     kind = slim.schema[ident].dataType.simpleString()
-    grams = (slim.mapInArrow(lambda it: _grams(it, text, min_words, gram), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-             .filter(F.col("n") > hot).orderBy(F.desc("n")).limit(MOST_HOT).select("gram").collect())
-    known = spark.sparkContext.broadcast(np.sort(np.array([r["gram"] for r in grams], np.int64).view(np.uint64)))  # MOST_HOT * 8 bytes at most
-    suffixes = slim.mapInArrow(lambda it: _suffixes(it, text, ident, min_words, gram, known), f"doc {kind}, start long, gram long, windows binary")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = suffixes.repartition(n, "gram").sortWithinPartitions("gram", "doc", "start")
-    out = f"doc {kind}, start long, end long, later boolean"
-    found = met.mapInArrow(lambda it: _compare(it, min_words), out)
-    if grams:
-        windows = slim.mapInArrow(lambda it: _hot_windows(it, text, ident, min_words, gram, known), f"doc {kind}, start long, window long")
-        # equal places are rows with one id: all but one of them are later copies
-        places = windows.groupBy("window", "doc", "start").agg(F.count("*").alias("rows")).checkpoint()
-        first = places.groupBy("window").agg(F.sum("rows").alias("n"), F.min(F.struct("doc", "start", "rows")).alias("first")).filter("n > 1")
-        hit = places.join(first, "window")
-        end = F.col("start") + min_words
-        later = (F.struct("doc", "start") != F.struct("first.doc", "first.start")) | (F.col("first.rows") > 1)
-        found = (found.union(hit.select("doc", "start", end, F.lit(False)))
-                 .union(hit.filter(later).select("doc", "start", end, F.lit(True))))
-    return found
+    met = (slim.mapInArrow(lambda it: _grams(it, text, min_words, gram), "gram long, around long").groupBy("gram")
+           .agg(F.count(F.lit(1)).alias("n"), (F.min("around") != F.max("around")).alias("mixed")).filter("n > 1").select("gram", "mixed").checkpoint())
+    numbered = slim.withColumn("_row", F.monotonically_increasing_id())  # fixed once the suffixes are written
+    suffixes = numbered.mapInArrow(lambda it: _suffixes(it, text, ident, min_words, gram),
+                                   f"doc {kind}, row long, start long, gram long, around long, windows array<long>")
+    path = session.scratch_path(spark, "suffixes")
+    suffixes.join(F.broadcast(met) if met.count() <= SMALL else met, "gram").write.parquet(path)
+    shared = spark.read.schema(f"doc {kind}, row long, start long, gram long, around long, windows array<long>, mixed boolean").parquet(path)
+    # suffixes that agree with all that is around them: one stands for all
+    whole, told = _marked(shared, ["gram", "around"], F.size("windows") + (min_words - 1))
+    # those that meet others of the same n-gram are extended left and right, window by window
+    alone = told.filter("mixed and coalesce(first, true)").select("doc", "row", "start", F.posexplode("windows").alias("at", "window"))
+    parts, _ = _marked(alone.select("doc", "row", (F.col("start") + F.col("at")).alias("start"), "window"), ["window"], F.lit(min_words))
+    return whole.union(parts)
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces sorted by document, kind and start to disjoint passages."""
+    """Pieces sorted by document and start to disjoint passages: those of all
+    copies, and those of later copies."""
     for t in complete_groups(batches, ["key"]):
-        new = np.ones(t.num_rows, bool)
-        key, later, start, end = (t[c].to_numpy(zero_copy_only=False) for c in ("key", "later", "start", "end"))
-        group = np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]) | (later[1:] != later[:-1])]))
-        base = group * (int(end.max()) + 1)  # one number line for all groups
-        reach = np.maximum.accumulate(base + end)
-        new[1:] = (base + start)[1:] > reach[:-1]
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], t.num_rows) - 1
-        yield pa.record_batch([t["doc"].combine_chunks().take(pa.array(first)), pa.array(start[first]), pa.array((reach - base)[last]),
-                               pa.array(later[first])], names=["doc", "start", "end", "later"])
-
-
-def spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id", hot: int = HOT) -> DataFrame:
-    """Disjoint repeated passages per document: doc, start, end, later."""
-    found = passages(docs, min_words, gram, text, ident, hot)
+        doc = t["doc"].combine_chunks()
+        columns = [t[c].to_numpy(zero_copy_only=False) for c in ("key", "start", "end")]
+        is_later = t["later"].to_numpy(zero_copy_only=False)
+        for which in (False, True):
+            rows = np.flatnonzero(is_later) if which else np.arange(t.num_rows)
+            if not len(rows):
+                continue
+            key, start, end = (c[rows] for c in columns)
+            group = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]]))
+            base = group * (int(end.max()) + 1)  # one number line for all documents
+            reach = np.maximum.accumulate(base + end)
+            new = np.ones(len(rows), bool)
+            new[1:] = (base + start)[1:] > reach[:-1]
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(rows)) - 1
+            yield pa.record_batch([doc.take(pa.array(rows[first])), pa.array(start[first]), pa.array((reach - base)[last]),
+                                   pa.array([which] * len(first), pa.bool_())], names=["doc", "start", "end", "later"])
+
+
+def spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id") -> DataFrame:
+    """Disjoint repeated passages per document: doc, start, end, later (false:
+    those of any copy; true: those of copies after the first)."""
+    found = passages(docs, min_words, gram, text, ident)
     kind = found.schema["doc"].dataType.simpleString()
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = found.withColumn("key", F.xxhash64("doc")).repartition(n, "key").sortWithinPartitions("key", "doc", "later", "start")
+    rows = found.withColumn("key", F.xxhash64("doc")).repartition(n, "key").sortWithinPartitions("key", "doc", "start")
     return rows.mapInArrow(_merge, f"doc {kind}, start long, end long, later boolean")
 
 
-def report(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id", hot: int = HOT) -> DataFrame:
+def report(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """One row per document that holds a passage found more than once: words in
     such passages, words in later copies, and both lists as start:end in words."""
     one = F.concat_ws(":", "start", "end")
     listed = lambda later: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("later") == later, F.struct("start", one.alias("x"))))),
                                                     lambda s: s["x"]), ",")
     words = lambda later: F.sum(F.when(F.col("later") == later, F.col("end") - F.col("start")).otherwise(0))
-    return (spans(docs, min_words, gram, text, ident, hot).groupBy(F.col("doc").alias(ident))
+    return (spans(docs, min_words, gram, text, ident).groupBy(F.col("doc").alias(ident))
             .agg(words(False).alias("n_repeated"), words(True).alias("n_removed"), listed(False).alias("repeated"), listed(True).alias("removed")))
 
 
@@ -227,10 +207,9 @@ def _cut(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatc
             yield pa.record_batch([pa.array(out, part.schema.field(text).type) if c == text else part.column(k) for k, c in enumerate(names)], names=names)
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id",
-                   hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id") -> DataFrame:
     """The documents without the later copies of repeated passages."""
-    gone = (spans(docs, min_words, gram, text, ident, hot).filter("later").groupBy(F.col("doc").alias("_doc"))
+    gone = (spans(docs, min_words, gram, text, ident).filter("later").groupBy(F.col("doc").alias("_doc"))
             .agg(F.collect_list(F.struct("start", "end")).alias("_gone")))
     return (docs.join(gone, docs[ident] == gone["_doc"], "left").select(*[docs[c] for c in docs.columns], gone["_gone"])
             .mapInArrow(lambda it: _cut(it, text), T.StructType(docs.schema.fields)))

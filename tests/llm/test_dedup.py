@@ -234,14 +234,15 @@ def passages_brute(rows, m):
     return out
 
 
-def test_passages_against_brute_force(spark):
+def test_passages_against_brute_force(spark, monkeypatch):
     shared = [prose(100 + k, 60, ends=False) for k in range(4)]
     rows = [(i, prose(i, 30) + "\n" + shared[i % 5][: 330 - 3 * i] + "\n" + prose(500 + i, 25) if i % 5 < 4 else prose(i, 90)) for i in range(40)]
     rows += [(200, None), (201, ""), (202, "w " * 500), (203, prose(8, 3000)), (204, "pre " + prose(8, 3000))]
     want = passages_brute(rows, 20)
     assert want
-    for hot in (10_000, 2):  # the second sends most n-grams down the hot path
-        got = {r["doc_id"]: (r["n_repeated"], r["n_removed"]) for r in sparse_suffix.report(docs_of(spark, rows), 20, 6, hot=hot).collect()}
+    for small in (500_000, 0):  # the second joins copies by a shuffle
+        monkeypatch.setattr(sparse_suffix, "SMALL", small)
+        got = {r["doc_id"]: (r["n_repeated"], r["n_removed"]) for r in sparse_suffix.report(docs_of(spark, rows), 20, 6).collect()}
         assert got == want
     clean = sparse_suffix.remove_repeats(docs_of(spark, rows), 20, 6)
     assert clean.columns == docs_of(spark, rows).columns and clean.count() == len(rows)
@@ -257,17 +258,30 @@ def test_passages_of_awkward_rows(spark):
     assert sparse_suffix.remove_repeats(docs_of(spark, AWKWARD)).count() == len(AWKWARD)
 
 
-def test_hot_passages_of_repeated_rows(spark):
+def test_passages_of_repeated_rows(spark, monkeypatch):
     long = prose(31, 40, ends=False)
     rows = AWKWARD + [(20, long), (20, long), (20, "pre " + long), (21, long), (22, prose(32, 40)), (22, prose(32, 40))]
     # one id with a passage at one place of two texts
     rows += [(23, prose(33, 40, ends=False) + " left"), (23, prose(33, 40, ends=False) + " right")]
-    cold, hot = (sorted(map(tuple, sparse_suffix.report(docs_of(spark, rows), 20, 6, hot=h).collect())) for h in (10_000_000, 1))
-    assert hot == cold
-    gone = {r[0]: r[2] for r in hot}
+    found = []
+    for small in (500_000, 0):
+        monkeypatch.setattr(sparse_suffix, "SMALL", small)
+        found.append(sorted(map(tuple, sparse_suffix.report(docs_of(spark, rows), 20, 6).collect())))
+    assert found[0] == found[1]
+    gone = {r[0]: r[2] for r in found[0]}
     assert gone[5] == 70 and gone[20] >= 40 and gone[22] == gone[23] == 40
 
 
+def test_one_passage_in_every_document(spark):
+    """Copies of a passage, alone, in different surroundings and cut at either end."""
+    passage = prose(41, 60, ends=False).split()
+    rows = [(i, " ".join([*prose(1000 + i, i % 7).split(), *passage[i % 3: 60 - i % 4], *prose(2000 + i, i % 5).split()])) for i in range(150)]
+    rows += [(300 + i, " ".join(passage)) for i in range(60)] + [(400 + i, " ".join(passage[k: k + 25])) for i, k in enumerate(range(0, 35, 3))]
+    random.Random(2).shuffle(rows)
+    got = {r["doc_id"]: (r["n_repeated"], r["n_removed"]) for r in sparse_suffix.report(docs_of(spark, rows).repartition(6), 20, 6).collect()}
+    assert got == passages_brute(rows, 20) and len(got) == len(rows)
+
+
 def test_pieces_of_words_retain_the_same_windows(monkeypatch):
     import pyarrow as pa
     hashes, begin = common.hashed_words(pa.array([prose(i, 400) for i in range(5)] + ["w " * 300, None]))
