@@ -111,6 +111,36 @@ def first_seen_ids(records: DataFrame, id_col: str, order_cols: list[str],
     return first.select(id_col, *[F.col(f"_first.{c}").alias(f"first_{c}") for c in order_cols])
 
 
+def refresh_posts(snapshot: DataFrame, state: DataFrame, last_loaded_at: Column, run_ts: str, window_days: int | None = None
+                  ) -> tuple[DataFrame, DataFrame]:
+    """JOB-2's two tracks: (``fresh``, ``known``). ``fresh`` are the posts at or
+    after the buffered bound, whether the state knows them or not; ``known`` are
+    the posts of the state inside the active window, and none on a first run
+    (``last_loaded_at`` NULL), when every post is fresh."""
+    fresh = since_filter(snapshot, "created_time", buffered_since(last_loaded_at))
+    return fresh, active_window(state, "created_time", run_ts, window_days).filter(last_loaded_at.isNotNull())
+
+
+def comment_bounds(fresh: DataFrame, known: DataFrame, last_loaded_at: Column, post: str = "post_id") -> DataFrame:
+    """One row per post whose comments are read again: ``since`` is NULL (all of
+    them) for a fresh post and ten minutes before the last load for a known one;
+    a post that is both is fresh."""
+    rows = fresh.select(post, F.lit(True).alias("_all")).unionByName(known.select(post, F.lit(False).alias("_all")))
+    return rows.groupBy(post).agg(F.max("_all").alias("_all")).select(
+        post, F.when(~F.col("_all"), buffered_since(last_loaded_at)).alias("since"))
+
+
+def comments_to_refresh(comments: DataFrame, bounds: DataFrame, post: str = "post_id", ts: str = "created_time") -> DataFrame:
+    """FIL-2 per post: the comments at or after their post's bound (inclusive; a
+    time that can't be read counts as the epoch), with that bound as ``since``.
+    Posts without a bound are left alone, also if they have new comments. AQE
+    sends the bounds to the comments' tasks while they are small, and splits a
+    post that has gathered most comments otherwise."""
+    lower = bounds.select(F.col(post).alias("_post"), "since")
+    return (comments.join(lower, F.col(post) == F.col("_post")).drop("_post")
+            .filter(F.col("since").isNull() | at_or_after(comments, ts, F.col("since"))))
+
+
 def state_from_snapshot(snapshot: DataFrame) -> DataFrame:
     """Rows of the state table from canonical posts."""
     return snapshot.select(*schemas.columns(schemas.STATE))

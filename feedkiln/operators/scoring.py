@@ -66,8 +66,11 @@ class LexiconScorer:
 
 def score_batches(df: DataFrame, id_col: str, text_col: str,
                   scorer_factory: Callable[[], Callable[[list[str]], list[tuple[str, float]]]] = LexiconScorer,
-                  batch_size: int = BATCH_SIZE, model_name: str = LEXICON_MODEL) -> DataFrame:
-    """SCR-1: ``(id, text) -> (id, sentiment_label, confidence_score, model_name)``."""
+                  batch_size: int = BATCH_SIZE, model_name: str = LEXICON_MODEL, keep: list[str] | None = None) -> DataFrame:
+    """SCR-1: ``(id, text) -> (id, sentiment_label, confidence_score, model_name)``,
+    and the columns ``keep`` of the rows."""
+    keep = keep or []
+    kept = "".join(f", {c} {df.schema[c].dataType.simpleString()}" for c in keep)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
@@ -80,10 +83,10 @@ def score_batches(df: DataFrame, id_col: str, text_col: str,
                     labels.append(lab)
                     confs.append(float(conf))
             yield pd.DataFrame({id_col: pdf[id_col], "sentiment_label": labels,
-                                "confidence_score": confs, "model_name": model_name})
+                                "confidence_score": confs, "model_name": model_name, **{c: pdf[c] for c in keep}})
 
-    schema = f"{id_col} {id_type}, sentiment_label string, confidence_score double, model_name string"
-    return df.select(id_col, text_col).mapInPandas(run, schema)
+    schema = f"{id_col} {id_type}, sentiment_label string, confidence_score double, model_name string{kept}"
+    return df.select(id_col, *dict.fromkeys([text_col, *keep])).mapInPandas(run, schema)
 
 
 def tokens(text: Column) -> Column:
@@ -133,12 +136,13 @@ def eligible(df: DataFrame, has_text: str = "has_text", flags: str = "quality_fl
     return df.filter(ok), df.filter(~ok)
 
 
-def skipped_rows(df: DataFrame, id_col: str, flags: str = "quality_flag", has_text: str = "has_text") -> DataFrame:
+def skipped_rows(df: DataFrame, id_col: str, flags: str = "quality_flag", has_text: str = "has_text",
+                 keep: list[str] | None = None) -> DataFrame:
     """SCR-4: a ``skipped`` row with the reason in ``model_name`` and confidence 0.0."""
     reason = F.coalesce(F.col(flags), F.when(~F.col(has_text), F.lit("no_text")))
     return df.select(id_col, F.lit(SKIPPED).alias("sentiment_label"),
                      F.lit(0.0).alias("confidence_score"),
-                     F.concat(F.lit("skipped:"), reason).alias("model_name"))
+                     F.concat(F.lit("skipped:"), reason).alias("model_name"), *(keep or []))
 
 
 def label_distribution(results: DataFrame, label: str = "sentiment_label") -> DataFrame:

@@ -534,3 +534,37 @@ select 'twitter_' || event_id as post_id, cast(user_id as varchar) as page_id, e
 """,
     "page_subset": "select doc_id, source from documents where source in ('src1', 'src3', 'src10')",
 })
+
+ORACLE["comment_refresh"] = """
+with conv as (select distinct conv_id, timestamp '2024-01-01 00:00:00' + to_days(cast(conv_id % 30 as int)) + to_hours(conv_id % 24) as began from conversations),
+bound as (select conv_id, began >= timestamp '2024-01-30 11:50:00' as fresh,
+                 conv_id % 3 <> 0 and began >= timestamp '2024-01-24 00:00:00' as known from conv),
+talk as (select c.conv_id, c.turn, conv.began + to_hours(c.turn * c.turn * 12) as created_time from conversations c join conv using (conv_id) where c.turn > 0)
+select conv_id as post_id, turn, created_time, case when fresh then null else timestamp '2024-01-30 11:50:00' end as since
+from talk join bound using (conv_id)
+where created_time <= timestamp '2024-01-31 00:00:00' and (fresh or (known and created_time >= timestamp '2024-01-30 11:50:00'))
+"""
+
+_THREADS = """conv as (select distinct conv_id, timestamp '2024-01-01 00:00:00' + to_days(cast(conv_id % 30 as int)) + to_hours(conv_id % 24) as began from conversations),
+talk as (select * from (select c.conv_id, c.turn, conv.began, conv.began + to_hours(c.turn * c.turn * 12) as created_time
+                        from conversations c join conv using (conv_id) where c.turn > 0) where created_time <= timestamp '2024-01-31 00:00:00')"""
+
+ORACLE["stream_landing"] = f"""
+with {_THREADS}
+select 'post' as kind, cast(conv_id as varchar) as id, cast(conv_id as varchar) as post_id, cast(null as varchar) as reason from conv where conv_id % 10 <> 7
+union all select 'comment', conv_id || '-' || turn, cast(conv_id as varchar), null from talk where conv_id % 10 not in (3, 7)
+union all select 'rejected', conv_id || '-' || turn, cast(conv_id as varchar), 'orphan:post_id' from talk where conv_id % 10 = 7
+union all select 'rejected', null, null, 'malformed_json' from (select distinct conv_id from talk where conv_id % 10 = 3)
+"""
+
+ORACLE["late_comments"] = f"""
+with {_THREADS},
+posts as (select conv_id, began + to_days(cast(case when conv_id % 7 = 0 then 10 else 0 end as int)) as post_time from conv where conv_id % 5 <> 0)
+select talk.conv_id as post_id, turn, created_time, post_time
+from talk left join posts on posts.conv_id = talk.conv_id and post_time between created_time - interval 30 days and created_time + interval 7 days
+"""
+
+ORACLE["keyed_state"] = f"""
+select user_id, {', '.join(f"cast(count(*) filter (where event_type = '{t}') as bigint) as n_{t}" for t in _ET)}
+from events group by user_id having max(ts) >= timestamp '{Q.STATE_CUTOFF}'
+"""

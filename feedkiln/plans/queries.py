@@ -10,7 +10,7 @@ Times are fixed parameters so results repeat.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedkiln import session
@@ -68,6 +68,30 @@ def _varied_props(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").withColumn("props", F.when(varied, props).otherwise(F.col("props")))
 
 
+def _threads(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """``conversations`` as a feed: a post per conversation, a comment per later
+    turn, the gaps between turns growing."""
+    conv = table(spark, d, "conversations").select("conv_id", "turn")
+    began = _ts("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days=F.pmod("conv_id", F.lit(30)).cast("int"),
+                                                                             hours=F.pmod("conv_id", F.lit(24)).cast("int"))
+    posts = conv.select(F.col("conv_id").alias("post_id"), began.alias("created_time")).distinct()
+    later = began + F.make_dt_interval(hours=(F.col("turn") * F.col("turn") * 12).cast("int"))
+    comments = conv.filter("turn > 0").select(F.col("conv_id").alias("post_id"), "turn", later.alias("created_time"))
+    return posts, comments.filter(F.col("created_time") <= F.lit(RUN_TS).cast("timestamp"))
+
+
+def q_comment_refresh(spark: SparkSession, d: str) -> DataFrame:
+    """The comments that a refresh reads again: all of fresh posts, those since the
+    buffered bound of every known post in the active window, changed or not."""
+    posts, comments = _threads(spark, d)
+    state = posts.filter(F.pmod("post_id", F.lit(3)) != 0)
+    last = F.lit(LAST_LOADED_AT).cast("timestamp")
+    fresh, known = incremental.refresh_posts(posts, state, last, RUN_TS, ACTIVE_DAYS)
+    wanted = incremental.comments_to_refresh(comments, incremental.comment_bounds(fresh, known, last))
+    return wanted.select("post_id", "turn", F.col("created_time").cast("timestamp_ntz").alias("created_time"),
+                         F.col("since").cast("timestamp_ntz").alias("since"))
+
+
 def q_json_extract_default(spark: SparkSession, d: str) -> DataFrame:
     ev = _varied_props(spark, d).select("event_id", F.try_parse_json(F.col("props")).alias("v"))
     sc = V.Scope()
@@ -594,6 +618,95 @@ def q_run_audit(spark: SparkSession, d: str) -> DataFrame:
                                           for s in stages])).alias("s")).select("s.stage", "s.n_rows")
 
 
+def _thread_zone(spark: SparkSession, d: str) -> str:
+    """The threads of ``_threads`` as a landing zone, an envelope per file: comments by
+    post first, then posts by page. Posts of every tenth conversation never come;
+    another tenth's comment files are cut short."""
+    root = session.scratch_path(spark, "thread-zone")
+    posts, comments = _threads(spark, d)
+    conv = table(spark, d, "conversations").filter("turn > 0").select(F.col("conv_id").alias("post_id"), "turn", "text")
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text_id = lambda *c: F.concat_ws("-", *[F.col(x).cast("string") for x in c])
+    rows = comments.join(conv, ["post_id", "turn"])
+    record = F.struct(text_id("post_id", "turn").alias("id"), stamp("created_time").alias("created_time"), F.col("text").alias("message"))
+    meta = lambda kind: {"source_type": F.lit(kind), "page_id": F.lit("pg"), "run_timestamp": F.lit(RUN_TS)}
+    said = landing.build_envelopes(rows.withColumn("batch_no", F.lit(0)), ["post_id"], {**meta("comments"), "post_id": F.col("post_id").cast("string")},
+                                   record, F.col("turn"))
+    broken = F.when(F.pmod("post_id", F.lit(10)) == 3, F.substring("content", 1, 60)).otherwise(F.col("content"))
+    made = posts.filter(F.pmod("post_id", F.lit(10)) != 7).withColumn("page", F.pmod("post_id", F.lit(25)))
+    post = F.struct(text_id("post_id").alias("id"), stamp("created_time").alias("created_time"), F.lit("a post").alias("message"))
+    pages = landing.build_envelopes(landing.batch_records(made, ["page"], "post_id"), ["page"], meta("posts"), post, F.col("post_id"))
+    for kind, content in (("comments", said.select(broken.alias("content"))), ("posts", pages.select("content"))):
+        content.write.option("maxRecordsPerFile", 1).text(f"{root}/{kind}")
+    return root
+
+
+def q_stream_landing(spark: SparkSession, d: str) -> DataFrame:
+    """The streaming load of a landing zone: what became of every post and comment."""
+    from feedkiln.plans import jobs
+    from feedkiln.streaming import feed_load
+    wh = jobs.Warehouse(spark, session.scratch_path(spark, "stream-warehouse"))
+    feed_load.load_new(spark, _thread_zone(spark, d), wh, RUN_TS, max_files=2000, glob="*.txt")
+    none = F.lit(None).cast("string")
+    bare = lambda c: F.replace(F.col(c), F.lit("facebook_"), F.lit(""))
+    posts = wh.posts().read().select(F.lit("post").alias("kind"), bare("post_id").alias("id"), bare("post_id").alias("post_id"), none.alias("reason"))
+    comments = wh.comments().read().select(F.lit("comment"), bare("comment_id"), bare("post_id"), none)
+    dead = feed_load.dead_letter(wh, RUN_TS).select(
+        F.lit("rejected"), F.replace(F.get_json_object("raw_record", "$.comment_id"), F.lit("facebook_"), F.lit("")),
+        F.replace(F.get_json_object("raw_record", "$.post_id"), F.lit("facebook_"), F.lit("")), "rejection_reason")
+    return posts.union(comments).union(dead)
+
+
+def q_late_comments(spark: SparkSession, d: str) -> DataFrame:
+    """Comments joined to their posts as both streams come in, the last days first;
+    a post of every fifth conversation is missing and one of every seventh is ten
+    days late. A row far ahead on both sides ends the feed, so that all waiting
+    comments are told."""
+    from feedkiln.streaming import file_stream, late_comments
+    posts, comments = _threads(spark, d)
+    late = F.when(F.pmod("post_id", F.lit(7)) == 0, F.col("created_time") + F.make_dt_interval(days=F.lit(10))).otherwise(F.col("created_time"))
+    posts = posts.filter(F.pmod("post_id", F.lit(5)) != 0).select("post_id", late.alias("created_time"))
+    end = spark.createDataFrame([(-1, -1)], "post_id long, turn long").withColumn("created_time", F.lit("2100-01-01 00:00:00").cast("timestamp"))
+    streams = []
+    for name, rows in (("comments", comments), ("posts", posts)):
+        root = session.scratch_path(spark, f"late-{name}")
+        newest_first = rows.withColumn("_day", F.to_date("created_time")).repartitionByRange(4, F.col("_day").desc()).drop("_day")
+        newest_first.write.parquet(root)
+        end.select(*rows.columns).coalesce(1).write.mode("append").parquet(root)
+        streams.append(file_stream.file_stream(spark, root, rows.schema, max_files=2))
+    out = session.scratch_path(spark, "late-out")
+    joined = late_comments.with_posts(*streams, before="30 days", after="7 days", delay="60 days")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+    file_stream.run_available_now(joined, sink, "late", spark)
+    return (spark.read.schema(joined.schema).parquet(out).filter("post_id >= 0")
+            .select("post_id", "turn", F.col("created_time").cast("timestamp_ntz").alias("created_time"),
+                    F.col("post_time").cast("timestamp_ntz").alias("post_time")))
+
+
+def q_keyed_state(spark: SparkSession, d: str) -> DataFrame:
+    """Counters per user as daily snapshots, told by the state store where they
+    changed since a saved state."""
+    from feedkiln.streaming import file_stream, keyed_state
+    kinds = [f"n_{t}" for t in EVENT_TYPES]
+    per_day = table(spark, d, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        *[F.count_if(F.col("event_type") == t).alias(f"n_{t}") for t in EVENT_TYPES])
+    so_far = Window.partitionBy("user_id").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)  # a row per day at most
+    snapshots = per_day.select("user_id", F.col("day").cast("timestamp").alias("seen_at"),
+                               F.min("day").over(so_far).cast("timestamp").alias("created_time"), *[F.sum(c).over(so_far).alias(c) for c in kinds])
+    root = session.scratch_path(spark, "snapshots")
+    snapshots.withColumn("day", F.to_date("seen_at")).repartition("day").write.partitionBy("day").parquet(root)
+    before = F.col("seen_at") < F.lit(STATE_CUTOFF).cast("timestamp")
+    landed = spark.read.schema(snapshots.schema).parquet(root)
+    saved = latest_per_key(landed.filter(before), ["user_id"], ["seen_at"])
+    stream = file_stream.file_stream(spark, root, snapshots.schema).filter(~before)
+    told = keyed_state.changed_counters(stream, ["user_id"], kinds, "created_time", "seen_at", saved)
+    log = file_stream.ChangeLog(spark, session.scratch_path(spark, "keyed-state"), told.schema)
+    file_stream.run_available_now(told, log.write_batch, "keyed", spark, output_mode="update")
+    return log.read_latest(["user_id"], ["_batch"]).select("user_id", *kinds)
+
+
 # ---------------------------------------------------------------- connectors and single rules
 
 def q_composite_split(spark: SparkSession, d: str) -> DataFrame:
@@ -753,6 +866,10 @@ QUERIES = {
     "page_subset": q_page_subset,
     "dead_letter": q_dead_letter,
     "run_audit": q_run_audit,
+    "comment_refresh": q_comment_refresh,
+    "stream_landing": q_stream_landing,
+    "late_comments": q_late_comments,
+    "keyed_state": q_keyed_state,
     "stream_dedup": q_stream_dedup,
     "stream_state": q_stream_state,
 }

@@ -253,24 +253,87 @@ def test_overlay_and_latest(spark):
     assert rows(latest_per_key(df, ["k"], ["t", "v"]), "v") == [("c",)]
 
 
-def test_keyed_table_replaces_touched_partitions_only(spark, tmp_path):
-    schema = spark.createDataFrame([], "k long, v string").schema
-    kt = merge.KeyedTable(spark, str(tmp_path / "kt"), schema, ["k"], buckets=8)
-    kt.create_if_missing()
-    assert kt.read().count() == 0
-    assert kt.upsert(spark.createDataFrame([(i, "a") for i in range(200)], schema)) == 200
-    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "kt").rglob("*.parquet")}
-    before = files()
-    upd = spark.createDataFrame([(3, "b"), (1000, "new")], schema)
-    kt.upsert(upd)
-    gone = {p.rsplit("/", 2)[1] for p in before if p not in files()}
-    assert 1 <= len(gone) <= 2 and len(before) >= 8
-    got = {r.k: r.v for r in kt.read().collect()}
-    assert len(got) == 201 and got[3] == "b" and got[1000] == "new" and got[4] == "a"
-    kt.upsert(upd)  # idempotent
-    assert {r.k: r.v for r in kt.read().collect()} == got
-    with pytest.raises(ValueError):  # another number of buckets would place keys elsewhere
-        merge.KeyedTable(spark, str(tmp_path / "kt"), schema, ["k"], buckets=4).upsert(upd)
+DAYS = "k long, t timestamp, v string"
+
+
+def _day_files(path):
+    return {str(p): p.stat().st_mtime_ns for p in (path / "data").rglob("*.parquet")}
+
+
+def _year(spark, path):
+    table = merge.DayTable(spark, str(path), spark.createDataFrame([], DAYS).schema, ["k"], "t")
+    year = [(i, dt.datetime(2023, 1, 1) + dt.timedelta(days=i % 365), "a") for i in range(730)]
+    assert table.upsert(spark.createDataFrame(year, DAYS)) == 730
+    return table
+
+
+def test_one_day_into_a_year_rewrites_one_day(spark, tmp_path):
+    table = merge.DayTable(spark, str(tmp_path / "none"), spark.createDataFrame([], DAYS).schema, ["k"], "t")
+    assert table.read().count() == 0
+    table.create_if_missing()
+    table.create_if_missing()
+    assert (tmp_path / "none" / "data" / "_SUCCESS").exists() and table.read().count() == 0 and table.upsert(table.read()) == 0
+    table = _year(spark, tmp_path / "t")
+    before = _day_files(tmp_path / "t")
+    day = dt.datetime(2023, 3, 5)
+    load = spark.createDataFrame([(63, day, "b"), (1000, day, "new")], DAYS)
+    table.upsert(load)
+    after = _day_files(tmp_path / "t")
+    assert {p.rsplit("/", 2)[1] for p in set(before) ^ set(after)} == {"_day=2023-03-05"}
+    assert all(after[p] == before[p] for p in set(before) & set(after)) and len(before) >= 365
+    got = {r.k: r.v for r in table.read().collect()}
+    assert len(got) == 731 and got[63] == "b" and got[1000] == "new" and got[428] == "a"
+    table.upsert(load)  # idempotent
+    assert {r.k: r.v for r in table.read().collect()} == got
+    # a key whose time is corrected leaves its old day; an emptied day goes
+    table.upsert(spark.createDataFrame([(63, dt.datetime(2023, 3, 6), "c"), (428, dt.datetime(2023, 3, 6), "c"), (1000, None, "c")], DAYS))
+    got = {r.k: (r.t, r.v) for r in table.read().collect()}
+    assert len(got) == 731 and got[63] == (dt.datetime(2023, 3, 6), "c") and got[1000] == (None, "c")
+    assert not (tmp_path / "t" / "data" / "_day=2023-03-05").exists()
+
+
+def test_a_load_that_fails_while_days_are_put_in_place(spark, tmp_path, monkeypatch):
+    import shutil
+    table = _year(spark, tmp_path / "t")
+    load = spark.createDataFrame([(63, dt.datetime(2023, 3, 5), "b"), (64, dt.datetime(2023, 3, 6), "b")], DAYS)
+
+    def fails(self):  # between the removal of a day and the arrival of its new files
+        shutil.rmtree(tmp_path / "t" / "data" / "_day=2023-03-05")
+        raise OSError("executor lost")
+    monkeypatch.setattr(merge.DayTable, "_put_in_place", fails)
+    with pytest.raises(OSError):
+        table.upsert(load)
+    read = lambda: {r.k: r.v for r in merge.DayTable(spark, str(tmp_path / "t"), table.schema, ["k"], "t").read().collect()}
+    assert len(read()) == 730 and read()[63] == read()[64] == "b" and read()[428] == "a"  # the load was committed
+    monkeypatch.undo()
+    table.upsert(spark.createDataFrame([(1, dt.datetime(2023, 1, 2), "z")], DAYS))  # the next load makes up for it
+    assert len(read()) == 730 and read()[63] == read()[64] == "b" and read()[1] == "z"
+    assert not (tmp_path / "t" / "pending").exists()
+    # a load that fails before its commit leaves nothing
+    monkeypatch.setattr(merge, "upsert", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.upsert(load.withColumn("v", F.lit("lost")))
+    (tmp_path / "t" / "pending" / "rows").mkdir(parents=True, exist_ok=True)
+    assert read()[63] == "b" and len(read()) == 730
+    monkeypatch.undo()
+    assert table.upsert(load) == 2 and read()[63] == "b"
+
+
+def test_newest_row_wins_whatever_the_order_of_loads(spark, tmp_path):
+    rows_ = [[(1, dt.datetime(2024, 1, 1), "v3")], [(1, dt.datetime(2024, 1, 1), "v1"), (2, dt.datetime(2024, 1, 1), "v1")], [(1, dt.datetime(2024, 1, 2), "v2")]]
+    for i, order in enumerate(([0, 1, 2], [2, 1, 0], [1, 2, 0])):
+        table = merge.DayTable(spark, str(tmp_path / f"t{i}"), spark.createDataFrame([], DAYS).schema, ["k"], "t")
+        for j in order:
+            table.upsert(spark.createDataFrame(rows_[j], DAYS), newest=["v"])
+        assert sorted((r.k, r.v) for r in table.read().collect()) == [(1, "v3"), (2, "v1")]
+
+
+def test_incremental_model_on_a_stored_table(spark, tmp_path):
+    table = _year(spark, tmp_path / "t")
+    source = spark.createDataFrame([(1, dt.datetime(2023, 5, 5), "old"), (2, dt.datetime(2024, 2, 2), "fresh")], DAYS)
+    assert merge.load_incremental(table, source, "t", "t") == 1
+    got = {r.k: r.v for r in table.read().collect()}
+    assert got[2] == "fresh" and got[1] == "a" and len(got) == 730
 
 
 def test_a_half_written_version_is_replaced(spark, tmp_path):
