@@ -6,8 +6,7 @@ with the smallest hash. Which positions these are depends on the words alone, so
 two copies of a passage of ``min_words`` words retain a suffix at the same place
 inside it. Each suffix carries digests of the ``min_words``-word windows that its
 position was chosen for, which reach left and right of it, and one digest of
-all of them. Suffixes whose n-gram occurs once drop out before anything is
-shuffled as long as the list of the others is small (checked).
+all of them. Suffixes whose n-gram occurs once drop out first.
 
 The others are sorted by n-gram and by what is around it, and equal neighbours are
 copies: the first in document order stands for all of them, the rest are
@@ -39,8 +38,6 @@ from feedkiln.llm.common import (
 )
 
 MIN_WORDS, GRAM = 50, 10
-#: Keys of copies that are sent to all tasks at most; more are joined by a shuffle.
-SMALL = 500_000
 #: Words worked on at once.
 WORDS = 1 << 20
 _ODD = 0xBF58476D1CE4E5B9
@@ -109,16 +106,21 @@ def _suffixes(batches: Iterator[pa.RecordBatch], text: str, ident: str, min_word
                                       names=["doc", "row", "start", "gram", "around", "windows"])
 
 
-def _marked(rows: DataFrame, keys: list[str], size: Column) -> tuple[DataFrame, DataFrame]:
-    """Copies among ``rows`` (equal ``keys``): (pieces of passages, the rows with
-    ``first``: null for a row without copies, else whether it is the first)."""
+def _copies(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` that occur more than once and the ``least`` place of each."""
     place = F.struct("doc", "start", "row")
-    copies = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).filter("n > 1").drop("n").checkpoint()
-    told = rows.join(F.broadcast(copies) if copies.count() <= SMALL else copies, keys, "left")
-    told = told.withColumn("first", F.when(F.col("least").isNotNull(), place == F.col("least"))).drop("least")
-    # a row is repeated, and all but the first copy are later ones
-    pieces = told.filter(F.col("first").isNotNull()).select("doc", "start", (F.col("start") + size).alias("end"), (~F.col("first")).alias("later"))
-    return pieces, told
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).filter("n > 1").drop("n").checkpoint()
+
+
+def _told(rows: DataFrame, copies: DataFrame, keys: list[str]) -> DataFrame:
+    """``first``: null for a row without copies, else whether it is the first of them."""
+    first = F.when(F.col("least").isNotNull(), F.struct("doc", "start", "row") == F.col("least"))
+    return rows.join(copies, keys, "left").withColumn("first", first).drop("least")
+
+
+def _pieces(told: DataFrame) -> DataFrame:
+    """Every row with copies is repeated; all but the first are later copies."""
+    return told.filter(F.col("first").isNotNull()).select("doc", "start", (F.col("start") + F.col("size")).alias("end"), (~F.col("first")).alias("later"))
 
 
 def passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text: str = "text", ident: str = "doc_id") -> DataFrame:
@@ -133,14 +135,18 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, text
     suffixes = numbered.mapInArrow(lambda it: _suffixes(it, text, ident, min_words, gram),
                                    f"doc {kind}, row long, start long, gram long, around long, windows array<long>")
     path = session.scratch_path(spark, "suffixes")
-    suffixes.join(F.broadcast(met) if met.count() <= SMALL else met, "gram").write.parquet(path)
+    suffixes.join(met, "gram").write.parquet(path)
     shared = spark.read.schema(f"doc {kind}, row long, start long, gram long, around long, windows array<long>, mixed boolean").parquet(path)
     # suffixes that agree with all that is around them: one stands for all
-    whole, told = _marked(shared, ["gram", "around"], F.size("windows") + (min_words - 1))
+    keys = ["gram", "around"]
+    whole = shared.select("doc", "row", "start", *keys, (F.size("windows") + (min_words - 1)).alias("size"))
+    copies = _copies(whole, keys)
     # those that meet others of the same n-gram are extended left and right, window by window
-    alone = told.filter("mixed and coalesce(first, true)").select("doc", "row", "start", F.posexplode("windows").alias("at", "window"))
-    parts, _ = _marked(alone.select("doc", "row", (F.col("start") + F.col("at")).alias("start"), "window"), ["window"], F.lit(min_words))
-    return whole.union(parts)
+    alone = _told(shared.filter("mixed"), copies, keys).filter("coalesce(first, true)")
+    parts = (alone.select("doc", "row", "start", "gram", F.posexplode("windows").alias("at", "window"))
+             .select("doc", "row", (F.col("start") + F.col("at")).alias("start"), "gram", "window", F.lit(min_words).alias("size")).checkpoint())
+    same = _told(parts, _copies(parts, ["gram", "window"]), ["gram", "window"])
+    return _pieces(_told(whole, copies, keys)).union(_pieces(same))
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
