@@ -50,7 +50,9 @@ KEEP_CHARS, KEEP_WORDS = 32, 200_000
 
 #: A word that one side does not spell.
 BAD = (b"bad", b"bad")
-_CUT = re.compile(r"(?<=[!-~\w])(?= )")
+#: Before a space behind a visible character, unless the text ends with it (B adds a
+#: space to something only).
+_CUT = re.compile(r"(?<=[!-~\w])(?= .)", re.DOTALL)
 
 
 def byte_alphabet() -> dict[str, int]:
