@@ -18,35 +18,6 @@ def parse_iso(s: Column) -> Column:
     return string_to_ts(s)
 
 
-def parse_iso_or_epoch(s: Column) -> Column:
-    """DT-2: a failed parse reads as the epoch (for filters only, never stored)."""
-    return F.coalesce(parse_iso(s), F.lit(EPOCH).cast("timestamp"))
-
-
-def epoch_seconds(ts: Column) -> Column:
-    """DT-4: whole epoch seconds (truncated)."""
-    return F.unix_seconds(ts.cast("timestamp"))
-
-
-def minus_minutes(ts: Column, minutes: int) -> Column:
-    """DT-5."""
-    return ts - F.make_dt_interval(mins=F.lit(minutes))
-
-
-def minus_days(ts: Column, days: int) -> Column:
-    return ts - F.make_dt_interval(days=F.lit(days))
-
-
-def date_partition(ts: Column) -> Column:
-    """DT-6: ``yyyy/MM/dd`` folder of a run time."""
-    return F.date_format(ts, "yyyy/MM/dd")
-
-
-def compact_suffix(ts: Column) -> Column:
-    """DT-6: ``yyyyMMdd'T'HHmmss'Z'``."""
-    return F.date_format(ts, "yyyyMMdd'T'HHmmss'Z'")
-
-
 def iso_utc(ts: Column) -> Column:
     """ISO text with microseconds and ``Z`` (for envelopes)."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -50,8 +50,15 @@ def reply_depth(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     start = nodes.join(known, "parent", "left").select(
         "id", F.when(F.col("_known"), F.col("parent")).alias("anc"),
         (F.col("parent").isNotNull() & F.col("_known").isNull()).alias("dangling")).checkpoint()
+    found = _jump(start.withColumn("dist", F.when(F.col("anc").isNotNull(), 1).cast("long")))
+    return found.select(F.col("id").alias(id_col), F.col("root").alias("root_id"), "depth", "dangling")
+
+
+def _jump(start: DataFrame) -> DataFrame:
+    """``id, root, depth, dangling`` from ``id, anc, dist, dangling``: the ancestor that
+    a node hangs on ``dist`` levels below (none: a root)."""
     done = start.filter("anc is null").select("id", F.col("id").alias("root"), F.lit(0).cast("long").alias("depth"), "dangling")
-    left = start.filter("anc is not null").select("id", "anc", F.lit(1).cast("long").alias("dist"), "dangling")
+    left = start.filter("anc is not null").select("id", "anc", "dist", "dangling")
     while True:
         up = (left.select(F.col("id").alias("anc"), F.col("anc").alias("_a"), F.col("dist").alias("_d"), F.lit(None).cast(done.schema["root"].dataType).alias("_r"))
               .unionByName(done.select(F.col("id").alias("anc"), F.lit(None).cast(left.schema["anc"].dataType).alias("_a"),
@@ -64,7 +71,46 @@ def reply_depth(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
         done = done.unionByName(new.select("id", "root", F.col("dist").alias("depth"), "dangling"))
         left = step.filter("root is null").select("id", "anc", "dist", "dangling")
     lost = left.select("id", F.lit(None).cast(done.schema["root"].dataType).alias("root"), F.lit(None).cast("long").alias("depth"), "dangling")
-    return done.unionByName(lost).select(F.col("id").alias(id_col), F.col("root").alias("root_id"), "depth", "dangling")
+    return done.unionByName(lost)
+
+
+def extend_replies(stored: DataFrame, arrivals: DataFrame, id_col: str, parent_col: str) -> DataFrame:
+    """JOIN-8 by increments: the rows (``id, parent, root_id, depth, dangling``) that
+    new nodes add to a stored forest of the same columns or change in it.
+
+    A new node takes its root and depth from its stored parent. A stored root whose
+    missing parent has come now is hung below it, and its whole tree moves with it.
+    Only new nodes and such roots are resolved by pointer jumping; the stored table is
+    joined for their parents and for the trees that move. Nodes that are stored
+    already are passed over. Equals ``reply_depth`` over everything."""
+    old = stored.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"), F.col("root_id").alias("root"), "depth", "dangling")
+    new = (arrivals.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent")).dropDuplicates(["id"])
+           .join(old.select("id"), "id", "left_anti").checkpoint())
+    hung = old.filter("dangling").join(new.select(F.col("id").alias("parent")), "parent", "left_semi").select("id", "parent")
+    graph = new.select("id", "parent", F.lit(False).alias("was_root")).unionByName(hung.select("id", "parent", F.lit(True))
+                                                                                  .toDF("id", "parent", "was_root")).checkpoint()
+    inside = graph.select(F.col("id").alias("parent"), F.lit(True).alias("_inside"))
+    outside = old.select(F.col("id").alias("parent"), F.col("root").alias("_root"), F.col("depth").alias("_depth"), F.lit(True).alias("_stored"))
+    moving = graph.filter("was_root").select(F.col("id").alias("_root"), F.lit(True).alias("_moving"))
+    told = graph.join(inside, "parent", "left").join(outside, "parent", "left").join(moving, "_root", "left")
+    # a parent is new, or stored below a root that moves, or stored below one that stays
+    anc = F.when(F.col("_inside"), F.col("parent")).when(F.col("_moving"), F.col("_root"))
+    dist = F.when(F.col("_inside"), F.lit(1)).when(F.col("_moving"), F.col("_depth") + 1).cast("long")
+    fixed = F.col("_inside").isNull() & F.col("_moving").isNull() & F.col("_stored").isNotNull()
+    start = told.select("id", "parent", "was_root", anc.alias("anc"), dist.alias("dist"),
+                        (F.col("parent").isNotNull() & F.col("_inside").isNull() & F.col("_stored").isNull()).alias("dangling"), fixed.alias("fixed"),
+                        F.when(fixed, F.col("_root")).alias("base"), F.when(fixed, F.col("_depth") + 1).cast("long").alias("offset")).checkpoint()
+    base = start.select(F.col("id").alias("root"), "fixed", "base", "offset")
+    found = _jump(start.select("id", "anc", "dist", "dangling")).join(base, "root", "left")
+    placed = found.select("id", F.when(F.col("fixed"), F.col("base")).otherwise(F.col("root")).alias("root"),
+                          F.when(F.col("fixed"), F.col("offset") + F.col("depth")).otherwise(F.col("depth")).alias("depth"), "dangling")
+    rows = placed.join(start.select("id", "parent", "was_root"), "id").checkpoint()
+    to = rows.filter("was_root").select(F.col("id").alias("_from"), F.col("root").alias("_to"), F.col("depth").alias("_by"))
+    moved = old.join(to, F.col("root") == F.col("_from")).select(
+        "id", "parent", F.col("_to").alias("root"), (F.col("depth") + F.col("_by")).alias("depth"),
+        (F.col("dangling") & (F.col("id") != F.col("_from"))).alias("dangling"))
+    out = rows.filter(~F.col("was_root")).select("id", "parent", "root", "depth", "dangling").unionByName(moved)
+    return out.select(F.col("id").alias(id_col), F.col("parent").alias(parent_col), F.col("root").alias("root_id"), "depth", "dangling")
 
 
 def engagement_daily(df: DataFrame, ts: str, group: list[str], value: str | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ reach it, so a partition is ``(key, bucket)`` and the frame is still exact.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,8 +83,38 @@ def spam_suspected(df: DataFrame, post: str, text: str, ts: str,
 
 def trailing_count(df: DataFrame, keys: list[str], ts: str, window_s: int = BOT_WINDOW_SECONDS,
                    out: str = "trailing_count") -> DataFrame:
-    """Rows of the same key in ``[ts - window_s, ts]``."""
-    return range_count(df, keys, ts, window_s, 0, out=out)
+    """Rows of the same key in ``[ts - window_s, ts]``, whatever the key holds.
+
+    Rows of one key and time are counted first. The rows up to a time are then the
+    sum of three running counts, over the days of the key, the seconds of the
+    day and the microseconds of the second, none of which can hold more than
+    its calendar has; the trailing count is the difference of two such sums.
+    """
+    t, width = "_t", window_s * _MICROS
+    base = df.withColumn(t, epoch_micros(F.col(ts)))
+    per = base.groupBy(*keys, t).agg(F.count(F.lit(1)).alias("_n"))
+    points = per.select(*keys, F.col(t).alias("_at"), "_n", F.col(t).alias("_of"), F.lit(1).alias("_sign")).unionByName(
+        per.select(*keys, (F.col(t) - (width + 1)).alias("_at"), F.lit(0).cast("long").alias("_n"), F.col(t).alias("_of"), F.lit(-1).alias("_sign")))
+    points = (points.withColumn("_second", F.floor(F.col("_at") / _MICROS).cast("long"))
+              .withColumn("_day", F.floor(F.col("_second") / 86400).cast("long")))
+    in_second = F.sum("_n").over(Window.partitionBy(*keys, "_second").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0))
+    seconds = points.groupBy(*keys, "_day", "_second").agg(F.sum("_n").alias("_n")).select(
+        *keys, "_day", "_second", "_n",
+        F.sum("_n").over(Window.partitionBy(*keys, "_day").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)).alias("_before_second"))
+    days = seconds.groupBy(*keys, "_day").agg(F.sum("_n").alias("_n")).select(
+        *keys, "_day", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)).alias("_before_day"))
+    joined = _left_join(points.withColumn("_in_second", in_second), seconds.drop("_n"), [*keys, "_day", "_second"])
+    joined = _left_join(joined, days, [*keys, "_day"])
+    up_to = F.col("_in_second") + F.coalesce("_before_second", F.lit(0)) + F.coalesce("_before_day", F.lit(0))
+    counts = joined.groupBy(*keys, "_of").agg(F.sum(up_to * F.col("_sign")).alias(out)).withColumnRenamed("_of", t)
+    return _left_join(base, counts, [*keys, t]).drop(t)
+
+
+def _left_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
+    """Left join on ``cols``, where NULL equals NULL."""
+    named = right.select(*[F.col(c).alias(f"_j_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_j_{c}")) for c in cols])
+    return left.join(named, on, "left").drop(*[f"_j_{c}" for c in cols])
 
 
 def bot_suspected(df: DataFrame, keys: list[str], ts: str, window_s: int = BOT_WINDOW_SECONDS,

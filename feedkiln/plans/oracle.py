@@ -568,3 +568,10 @@ ORACLE["keyed_state"] = f"""
 select user_id, {', '.join(f"cast(count(*) filter (where event_type = '{t}') as bigint) as n_{t}" for t in _ET)}
 from events group by user_id having max(ts) >= timestamp '{Q.STATE_CUTOFF}'
 """
+
+ORACLE["layer_content"] = """
+select year(o_orderdate) as year, count(*) as n_landed, count(*) filter (o_orderkey % 8191 <> 5) as n_staged, count(*) as n_served,
+       coalesce(bool_or(o_orderkey % 8191 = 5 or (o_orderkey % 8087 = 3 and o_custkey <> 0)), false) as differs_staged,
+       coalesce(bool_or(o_orderkey % 7919 = 7), false) as differs_served
+from orders group by 1
+"""

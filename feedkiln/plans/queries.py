@@ -20,7 +20,7 @@ from feedkiln.functions import timefn as T
 from feedkiln.functions import variant as V
 from feedkiln.operators import canonical, checks, incremental, language, marts, merge, quality, scoring
 from feedkiln.operators.dedup import latest_per_key
-from feedkiln.operators.partitioning import spread
+from feedkiln.operators.partitioning import computed_once, spread
 from feedkiln.sources import landing
 from feedkiln.sources.tables import table
 
@@ -154,6 +154,17 @@ def q_envelope_reconcile(spark: SparkSession, d: str) -> DataFrame:
                       (F.col("declared_count") == F.col("found_count")).alias("matches"))
 
 
+def q_layer_content(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as landed against two later layers, by year: ``staged`` lost some rows
+    and altered others, ``served`` holds one row in place of another."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.year("o_orderdate").alias("year"))
+    key = F.col("o_orderkey")
+    staged = o.filter(F.pmod(key, F.lit(8191)) != 5).withColumn("o_custkey", F.when(F.pmod(key, F.lit(8087)) == 3, 0).otherwise(F.col("o_custkey")))
+    served = o.withColumn("o_orderkey", F.when(F.pmod(key, F.lit(7919)) == 7, -key).otherwise(key))
+    return checks.reconcile_content({"landed": o, "staged": staged, "served": served}, ["year"],
+                                    ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"])
+
+
 def q_layer_reconcile(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(F.year("o_orderdate").alias("year"))
     li = table(spark, d, "lineitem").select(F.year("l_shipdate").alias("year"))
@@ -172,15 +183,16 @@ def q_unique_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_not_null_test(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    scored = docs.select("doc_id", F.when(F.col("text").isNotNull(), True).alias("text")).join(
+        table(spark, d, "labels").select(F.col("doc_id").alias("_doc"), "quality"), F.col("doc_id") == F.col("_doc"), "left")
     return checks.suite(
         checks.not_null_test(table(spark, d, "orders"), "o_orderkey", "not_null_orders_o_orderkey"),
         checks.not_null_test(table(spark, d, "events"), "event_id", "not_null_events_event_id"),
         checks.not_null_test(table(spark, d, "lineitem"), "l_orderkey", "not_null_lineitem_l_orderkey"),
-        checks.not_null_test(table(spark, d, "documents"), "text", "not_null_documents_text"),
+        checks.not_null_tests(scored, {"text": "not_null_documents_text", "quality": "not_null_documents_quality"}),
         checks.not_null_test(table(spark, d, "conversations"), "text", "not_null_conversations_text"),
-        checks.not_null_test(table(spark, d, "labels"), "doc_id", "not_null_labels_doc_id"),
-        checks.not_null_test(table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels"), "doc_id", "left"),
-                             "quality", "not_null_documents_quality"))
+        checks.not_null_test(table(spark, d, "labels"), "doc_id", "not_null_labels_doc_id"))
 
 
 def q_accepted_values_test(spark: SparkSession, d: str) -> DataFrame:
@@ -454,9 +466,10 @@ def _document_candidates(spark: SparkSession, d: str) -> DataFrame:
     duplicates are counted on a digest of the text, so the shuffle carries an
     id, a few booleans and the digest instead of the document.
     """
-    docs = table(spark, d, "documents").select("doc_id", TX.clean_ws(F.col("text")).alias("c"), F.sha2("text", 256).alias("h"))
+    docs = table(spark, d, "documents").select("doc_id", computed_once(TX.clean_ws(F.col("text"))).alias("c"), F.sha2("text", 256).alias("h"))
     flags = quality.text_flags(F.col("c"))
-    slim = docs.select("doc_id", "h", TX.has_text(F.col("c")).alias("has_text"), *[v.alias(k) for k, v in flags.items()])
+    # an id, a digest and booleans, written once and read for the copies and for the rows: one scan, one chain of regexps
+    slim = docs.select("doc_id", "h", TX.has_text(F.col("c")).alias("has_text"), *[v.alias(k) for k, v in flags.items()]).checkpoint()
     dup = slim.groupBy("h").agg(F.count(F.lit(1)).alias("_copies"))
     shown = {k: F.col(k) for k in flags} | {"duplicate_text": F.col("_copies") > 1}
     return slim.join(dup, "h").select("doc_id", "has_text", TX.flags_csv(shown).alias("quality_flag"))
@@ -592,27 +605,34 @@ def q_landing_roundtrip(spark: SparkSession, d: str) -> DataFrame:
                         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
 
 
+def _records_and_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of the landing zone, and one row (no ``pos``) for a page that
+    has none or can't be read: one scan and one parse for all that is asked."""
+    env = events_as_posts(spark, d)
+    rows = env.select("*", F.posexplode_outer(F.col("records")).alias("pos", "record")).drop("records")
+    sc, cols, reason = canonical._mapped(canonical.entity("posts"), "facebook", RUN_TS, "record", "meta", "path")
+    return sc.apply(rows).select("pos", "file_error", *[c for c in cols], computed_once(reason).alias("rejection_reason")).select(
+        "pos", "file_error", "post_id", "message", "rejection_reason")
+
+
 def q_dead_letter(spark: SparkSession, d: str) -> DataFrame:
     """Everything of the landing zone that did not load: bad records with their
     reason, and whole pages that could not be read."""
-    env = events_as_posts(spark, d)
-    can = canonical.to_canonical(landing.unnest_records(env), "posts", run_ts=RUN_TS)
-    _, rejected = canonical.split(can, "posts")
-    pages = env.filter(F.col("file_error").isNotNull()).groupBy(F.col("file_error").alias("rejection_reason")).agg(F.count("*").alias("n_pages"))
-    records = rejected.groupBy("rejection_reason", F.get_json_object("raw_record", "$.message").alias("message")).agg(F.count("*").alias("n_records"))
-    return records.unionByName(pages, allowMissingColumns=True)
+    seen = _records_and_pages(spark, d).withColumn("reason", F.coalesce("file_error", "rejection_reason")).filter("reason is not null")
+    is_page = F.col("file_error").isNotNull()
+    return seen.groupBy(F.col("reason").alias("rejection_reason"), F.when(~is_page, F.col("message")).alias("message"), is_page.alias("page")).agg(
+        F.count("*").alias("n")).select("rejection_reason", "message", F.when(~F.col("page"), F.col("n")).alias("n_records"),
+                                        F.when(F.col("page"), F.col("n")).alias("n_pages"))
 
 
 def q_run_audit(spark: SparkSession, d: str) -> DataFrame:
-    env = events_as_posts(spark, d)
-    recs = landing.unnest_records(env)
-    can = canonical.to_canonical(recs, "posts", run_ts=RUN_TS)
-    stats = can.agg(F.count(F.lit(1)).alias("records"),
-                    F.count_if(F.col("rejection_reason").isNull()).alias("valid"),
-                    F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected"),
-                    F.count_distinct(F.when(F.col("rejection_reason").isNull(), F.col("post_id"))).alias("deduped"))
-    fstats = env.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("file_error").isNotNull()).alias("bad_files"))
-    row = stats.crossJoin(fstats)
+    seen = _records_and_pages(spark, d)
+    is_record = F.col("pos").isNotNull()
+    valid = is_record & F.col("rejection_reason").isNull()
+    row = seen.agg(F.count_if(F.coalesce(F.col("pos"), F.lit(0)) == 0).alias("files"), F.count_if(F.col("file_error").isNotNull()).alias("bad_files"),
+                   F.count_if(is_record).alias("records"), F.count_if(valid).alias("valid"),
+                   F.count_if(is_record & F.col("rejection_reason").isNotNull()).alias("rejected"),
+                   F.count_distinct(F.when(valid, F.col("post_id"))).alias("deduped"))
     stages = ["files", "bad_files", "records", "valid", "rejected", "deduped"]
     return row.select(F.explode(F.array(*[F.struct(F.lit(s).alias("stage"), F.col(s).cast("bigint").alias("n_rows"))
                                           for s in stages])).alias("s")).select("s.stage", "s.n_rows")
@@ -867,6 +887,7 @@ QUERIES = {
     "dead_letter": q_dead_letter,
     "run_audit": q_run_audit,
     "comment_refresh": q_comment_refresh,
+    "layer_content": q_layer_content,
     "stream_landing": q_stream_landing,
     "late_comments": q_late_comments,
     "keyed_state": q_keyed_state,

@@ -14,9 +14,3 @@ SUPPLIED_TABLES = (
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one supplied table; Catalyst prunes columns and pushes filters."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_all(spark: SparkSession, sf_dir: str, names=SUPPLIED_TABLES) -> None:
-    """Register every table as a temp view so SQL and DataFrame code share names."""
-    for n in names:
-        table(spark, sf_dir, n).createOrReplaceTempView(n)

@@ -260,41 +260,41 @@ def _day_files(path):
     return {str(p): p.stat().st_mtime_ns for p in (path / "data").rglob("*.parquet")}
 
 
-def _year(spark, path):
+def _many_days(spark, path):
     table = merge.DayTable(spark, str(path), spark.createDataFrame([], DAYS).schema, ["k"], "t")
-    year = [(i, dt.datetime(2023, 1, 1) + dt.timedelta(days=i % 365), "a") for i in range(730)]
-    assert table.upsert(spark.createDataFrame(year, DAYS)) == 730
+    many = [(i, dt.datetime(2023, 1, 1) + dt.timedelta(days=i % 70), "a") for i in range(140)]
+    assert table.upsert(spark.createDataFrame(many, DAYS)) == 140
     return table
 
 
-def test_one_day_into_a_year_rewrites_one_day(spark, tmp_path):
+def test_one_day_into_many_rewrites_one_day(spark, tmp_path):
     table = merge.DayTable(spark, str(tmp_path / "none"), spark.createDataFrame([], DAYS).schema, ["k"], "t")
     assert table.read().count() == 0
     table.create_if_missing()
     table.create_if_missing()
     assert (tmp_path / "none" / "data" / "_SUCCESS").exists() and table.read().count() == 0 and table.upsert(table.read()) == 0
-    table = _year(spark, tmp_path / "t")
+    table = _many_days(spark, tmp_path / "t")
     before = _day_files(tmp_path / "t")
     day = dt.datetime(2023, 3, 5)
     load = spark.createDataFrame([(63, day, "b"), (1000, day, "new")], DAYS)
     table.upsert(load)
     after = _day_files(tmp_path / "t")
     assert {p.rsplit("/", 2)[1] for p in set(before) ^ set(after)} == {"_day=2023-03-05"}
-    assert all(after[p] == before[p] for p in set(before) & set(after)) and len(before) >= 365
+    assert all(after[p] == before[p] for p in set(before) & set(after)) and len(before) >= 70
     got = {r.k: r.v for r in table.read().collect()}
-    assert len(got) == 731 and got[63] == "b" and got[1000] == "new" and got[428] == "a"
+    assert len(got) == 141 and got[63] == "b" and got[1000] == "new" and got[133] == "a"
     table.upsert(load)  # idempotent
     assert {r.k: r.v for r in table.read().collect()} == got
     # a key whose time is corrected leaves its old day; an emptied day goes
-    table.upsert(spark.createDataFrame([(63, dt.datetime(2023, 3, 6), "c"), (428, dt.datetime(2023, 3, 6), "c"), (1000, None, "c")], DAYS))
+    table.upsert(spark.createDataFrame([(63, dt.datetime(2023, 3, 6), "c"), (133, dt.datetime(2023, 3, 6), "c"), (1000, None, "c")], DAYS))
     got = {r.k: (r.t, r.v) for r in table.read().collect()}
-    assert len(got) == 731 and got[63] == (dt.datetime(2023, 3, 6), "c") and got[1000] == (None, "c")
+    assert len(got) == 141 and got[63] == (dt.datetime(2023, 3, 6), "c") and got[1000] == (None, "c")
     assert not (tmp_path / "t" / "data" / "_day=2023-03-05").exists()
 
 
 def test_a_load_that_fails_while_days_are_put_in_place(spark, tmp_path, monkeypatch):
     import shutil
-    table = _year(spark, tmp_path / "t")
+    table = _many_days(spark, tmp_path / "t")
     load = spark.createDataFrame([(63, dt.datetime(2023, 3, 5), "b"), (64, dt.datetime(2023, 3, 6), "b")], DAYS)
 
     def fails(self):  # between the removal of a day and the arrival of its new files
@@ -304,17 +304,17 @@ def test_a_load_that_fails_while_days_are_put_in_place(spark, tmp_path, monkeypa
     with pytest.raises(OSError):
         table.upsert(load)
     read = lambda: {r.k: r.v for r in merge.DayTable(spark, str(tmp_path / "t"), table.schema, ["k"], "t").read().collect()}
-    assert len(read()) == 730 and read()[63] == read()[64] == "b" and read()[428] == "a"  # the load was committed
+    assert len(read()) == 140 and read()[63] == read()[64] == "b" and read()[133] == "a"  # the load was committed
     monkeypatch.undo()
     table.upsert(spark.createDataFrame([(1, dt.datetime(2023, 1, 2), "z")], DAYS))  # the next load makes up for it
-    assert len(read()) == 730 and read()[63] == read()[64] == "b" and read()[1] == "z"
+    assert len(read()) == 140 and read()[63] == read()[64] == "b" and read()[1] == "z"
     assert not (tmp_path / "t" / "pending").exists()
     # a load that fails before its commit leaves nothing
     monkeypatch.setattr(merge, "upsert", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
         table.upsert(load.withColumn("v", F.lit("lost")))
     (tmp_path / "t" / "pending" / "rows").mkdir(parents=True, exist_ok=True)
-    assert read()[63] == "b" and len(read()) == 730
+    assert read()[63] == "b" and len(read()) == 140
     monkeypatch.undo()
     assert table.upsert(load) == 2 and read()[63] == "b"
 
@@ -329,11 +329,11 @@ def test_newest_row_wins_whatever_the_order_of_loads(spark, tmp_path):
 
 
 def test_incremental_model_on_a_stored_table(spark, tmp_path):
-    table = _year(spark, tmp_path / "t")
+    table = _many_days(spark, tmp_path / "t")
     source = spark.createDataFrame([(1, dt.datetime(2023, 5, 5), "old"), (2, dt.datetime(2024, 2, 2), "fresh")], DAYS)
     assert merge.load_incremental(table, source, "t", "t") == 1
     got = {r.k: r.v for r in table.read().collect()}
-    assert got[2] == "fresh" and got[1] == "a" and len(got) == 730
+    assert got[2] == "fresh" and got[1] == "a" and len(got) == 140
 
 
 def test_a_half_written_version_is_replaced(spark, tmp_path):
@@ -401,3 +401,56 @@ def test_incremental_model_and_page_dimension(spark):
     new = marts.page_dimension(spark.createDataFrame([("facebook", "p", T0 + dt.timedelta(days=3))], posts.schema))
     m = marts.merge_page_dimension(old, new).collect()[0]
     assert m.source_id == "facebook_p" and m.first_ingested_at == T0 and m.last_ingested_at == T0 + dt.timedelta(days=3)
+
+
+def test_content_reconciliation_finds_lost_and_altered_rows(spark):
+    schema = "page string, k long, v string, n long"
+    first = [("a", 1, "x", 1), ("a", 2, None, 2), ("b", 3, "z", None), ("c", 4, "w", 4), ("d", 5, "u", 5)]
+    df = lambda r: spark.createDataFrame(r, schema)
+    lost = [r for r in first if r[1] != 4]
+    altered = [("a", 1, "x", 1), ("a", 2, "", 2), ("b", 3, None, None), ("c", 4, "w", 4), ("d", 6, "u", 5)]
+    got = {r.page: tuple(r)[1:] for r in checks.reconcile_content({"raw": df(first), "same": df(first[::-1]), "lost": df(lost), "altered": df(altered)},
+                                                                  ["page"], ["k", "v", "n"]).collect()}
+    assert got == {"a": (2, 2, 2, 2, False, False, True), "b": (1, 1, 1, 1, False, False, True), "c": (1, 1, 0, 1, False, True, False), "d": (1, 1, 1, 1, False, False, True)}
+    assert rows(checks.differing_rows(df(first), df(altered), ["k"], ["v", "n"]), "k", "status") == [(2, "altered"), (3, "altered"), (5, "lost"), (6, "added")]
+
+
+def test_several_null_tests_in_one_aggregate(spark):
+    df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
+    got = {r.test_name: (r.failures, r.should_error) for r in checks.not_null_tests(df, {"a": "ta", "b": "tb"}).collect()}
+    assert got == {"ta": (1, True), "tb": (2, True)}
+
+
+def test_trailing_counts_with_an_author_of_a_third_of_all_rows(spark):
+    import random
+    r = random.Random(5)
+    times = [T0 + dt.timedelta(seconds=r.choice([0, 1, 3599, 3600, 3601, 7200, 86399, 86400, 90000]) + r.randrange(3), microseconds=r.choice([0, 1, 999_999]))
+             for _ in range(400)]
+    data = [("hot", times[i % 150]) for i in range(150)] + [(f"u{i % 40}", t) for i, t in enumerate(times)] + [(None, T0), (None, T0), ("hot", T0), ("late", None)]
+    df = spark.createDataFrame([(i, a, t) for i, (a, t) in enumerate(data)], "id long, author string, t timestamp").repartition(5)
+    got = {x.id: x.trailing_count for x in quality.trailing_count(df, ["author"], "t").collect()}
+    hour = dt.timedelta(hours=1)
+    want = {i: sum(b == a and u is not None and t - hour <= u <= t for b, u in data) for i, (a, t) in enumerate(data) if t is not None}
+    assert {i: got[i] for i in want} == want and len(got) == len(data)
+    flagged = quality.bot_suspected(df.filter("author is not null and t is not null"), ["author"], "t", threshold=60).filter("bot_suspected")
+    assert {x.author for x in flagged.collect()} == {a for i, (a, _) in enumerate(data) if i in want and want[i] > 60 and a}
+
+
+def test_reply_trees_by_increments_equal_a_rebuild(spark):
+    import random
+    r = random.Random(8)
+    nodes = [(f"n{i}", None if i % 9 == 0 else f"n{r.randrange(max(0, i - 12), i)}" if i % 13 else f"gone{i}") for i in range(120)]
+    nodes += [(f"m{i}", f"m{i - 1}") for i in range(1, 20)] + [("m0", "n50"), ("x", "y"), ("y", "x"), ("z", "y"), ("gone26", None)]
+    r.shuffle(nodes)
+    schema = "id string, parent string"
+    stored = spark.createDataFrame([], "id string, parent string, root_id string, depth long, dangling boolean")
+    for k in range(3):
+        batch = spark.createDataFrame(nodes[k::3] + nodes[:2], schema)
+        told = marts.extend_replies(stored, batch, "id", "parent").checkpoint()
+        stored = stored.join(told.select("id"), "id", "left_anti").select(*stored.columns).unionByName(told).checkpoint()
+        seen = [n for j in range(k + 1) for n in nodes[j::3]] + [n for n in nodes[:2] if n not in [m for j in range(k + 1) for m in nodes[j::3]]]
+        whole = marts.reply_depth(spark.createDataFrame(seen, schema), "id", "parent")
+        assert rows(stored, "id", "dangling") == rows(whole, "id", "dangling")
+        key = lambda x: (x.id, x.root_id or "", -1 if x.depth is None else x.depth)
+        assert sorted(map(key, stored.collect())) == sorted(map(key, whole.collect()))
+    assert stored.count() == len(nodes)
