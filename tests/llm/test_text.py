@@ -309,6 +309,87 @@ def test_viterbi_is_the_best_path():
     assert field.decode([words])[0].tolist() == list(best)
 
 
+def test_names_and_numbers_far_from_any_start():
+    field = pii_crf.Field()
+
+    def added(t):
+        return [(k, t[a:b]) for k, a, b in pii_crf.added_spans([t], [pii_crf.base_spans(t)], field)[0]]
+    for t in ("Please ask Ms. Anna Berg", "Miss Anna Berg agreed", "my name is Anna Berg"):
+        assert added(t) == [("name", "Anna Berg")]
+    for n in (61, 62, 63, 64, 500):  # a long row of numbers before it cuts nothing
+        assert added("17 " * n + "dear Mr. John Smith thank you") == [("name", "John Smith")]
+        assert added("12 " * n + "card 4111 1111 1111 1234 was used") == [("card", "4111 1111 1111 1234")]
+    for clean in ("these&&& are### words*** with$$$ Signs%%%", "Der Hund und die Katze gehen am Abend nach Haus.", "a b c " * 50):
+        assert added(clean) == []
+    far = prose(3, 90_000, ends=False) + "\n"  # more than one block of characters and of words
+    assert len(pii_crf.blocks_of(far)) > 1
+    got = pii_crf.added_spans([far + "dear Mr. John Smith thank you", "", "see Miss Anna Berg"], [[], [], []], field)
+    assert got == [[("name", len(far) + 9, len(far) + 19)], [], [("name", 9, 18)]]
+
+
+def test_skipped_words_are_outside_on_the_best_path():
+    r = random.Random(41)
+    parts = ["12", "call", "Mr.", "Anna", "Berg", "the", "word", "(030)", "4111", "host", "10-0-0-7", "x@", "a1b2", "Über", "is", "***", "more,", "name"]
+    sequences = [[r.choice(parts) for _ in range(r.randrange(40))] for _ in range(120)] + [["12"] * 700, [*["word"] * 300, "Mr.", "Anna", "Berg"]]
+    for field in (pii_crf.Field(epochs=4), pii_crf.Field(epochs=40)):
+        move, k = field.transitions(), len(pii_crf.STATES)
+        for words, got in zip(sequences, field.decode(sequences), strict=True):
+            if not words:
+                assert len(got) == 0
+                continue
+            e = np.array([field.emit[a].sum(axis=0) for a in field.around([field.code(w) for w in words])])
+            best = move[k] + e[0]  # the plain recursion over all words
+            for t in range(1, len(words)):
+                best = (best[:, None] + move[:k]).max(axis=0) + e[t]
+            score = move[k, got[0]] + e[np.arange(len(words)), got].sum() + sum(move[a, b] for a, b in zip(got, got[1:], strict=False))
+            assert abs(score - best.max()) < 1e-6 * max(1, abs(score))
+
+
+def test_gradient_of_the_field():
+    """Against differences of the likelihood, by sums over all paths."""
+    import itertools
+    r = np.random.default_rng(5)
+    k, sizes = 3, [1, 4, 2]
+    active = [[sorted(r.choice(6, 2, replace=False).tolist()) for _ in range(n)] for n in sizes]
+    states = [r.integers(0, k, n).tolist() for n in sizes]
+    emit, move = r.normal(size=(6, k)), r.normal(size=(k + 1, k))
+
+    def likelihood():
+        total = 0.0
+        for act, st in zip(active, states, strict=True):
+            def score(path, act=act):
+                return sum(emit[a, s].sum() for a, s in zip(act, path, strict=True)) + sum(move[a, b] for a, b in zip([k, *path], path, strict=False))
+            total += score(st) - np.log(sum(np.exp(score(p)) for p in itertools.product(range(k), repeat=len(act))))
+        return total
+    got = pii_crf._Table(active, states, k).gradient(emit, move)
+    for w, g in zip((emit, move), got, strict=True):
+        for at in np.ndindex(w.shape):
+            w[at] += 1e-5
+            up = likelihood()
+            w[at] -= 2e-5
+            assert abs((up - likelihood()) / 2e-5 - g[at]) < 1e-5
+            w[at] += 1e-5
+
+
+def test_labelled_numbers_are_made_up_and_train_the_field():
+    """The trained field tells its own table, held against the written states."""
+    field = pii_crf.Field()
+    rows = [line.split(" ") for line in pii_crf.LABELLED.strip().splitlines()]
+    want = [[w.rpartition("/")[2] if w.rpartition("/")[2] in pii_crf.STATES else "O" for w in row] for row in rows]
+    words = [[w.rpartition("/")[0] if s != "O" else w for w, s in zip(row, states, strict=True)] for row, states in zip(rows, want, strict=True)]
+    wrong = sum(pii_crf.STATES[a] != b for got, states in zip(field.decode(words), want, strict=True) for a, b in zip(got, states, strict=True))
+    assert wrong <= 0.01 * sum(map(len, want))
+
+
+def test_personal_data_with_repeated_rows_and_clashing_columns(spark):
+    rows = [*AWKWARD, (20, "dear Mr. John Smith thank you"), (20, "dear Mr. John Smith thank you")]
+    docs = docs_of(spark, rows, spans=F.lit("spans"), n_email=F.lit(5), base_sha256=F.lit(None).cast("string"))
+    got = pii_crf.find(docs).collect()
+    assert sorted((g["doc_id"] or 0) for g in got) == sorted((i or 0) for i, _ in rows)
+    assert [g["spans"] for g in got if g["doc_id"] == 20] == ["name:9:19"] * 2
+    assert all(g["spans"] == "" for g in got if g["doc_id"] in (1, 2, 3, 7))
+
+
 # toxicity -------------------------------------------------------------------
 
 def toxic_tables(spark, n=900):
