@@ -10,10 +10,12 @@ the quantile is cut again until it holds less than ``TOLERANCE`` of a shard.
 Documents of equal text are one unit, placed at the least metadata of its
 members, so copies stay together; a unit above ``PIECE`` of a shard is dealt
 into pieces by a hash of the ids, so a hot text cannot outweigh a shard. Ties in
-a dimension are broken by a hash of the unit.
+a dimension are broken by a hash of the unit. A string dimension enters the tree as
+the rank of its whole value among all distinct values, by a range-partitioned sort.
 
 Defined results: a null text has no bytes and counts 8; null metadata count as
-the least value; repeated rows are rows of their own; fewer units than shards
+the least value; repeated rows are rows of their own; a very long text counts its
+bytes and is read by hash functions only; fewer units than shards
 leave some shards empty; an empty table gives no rows; other columns are not
 read.
 """
@@ -34,22 +36,40 @@ ROW_BYTES, SLOT_ROWS = 8, 50_000
 RANK_BITS, TIE_BITS = 31, 31
 
 
-def numeric(col: str, kind: T.DataType) -> Column:
-    """A number that orders as the column does (strings: by their first bytes)."""
+def ordered(col: str, kind: T.DataType) -> Column:
+    """A number that orders as the column does; strings as they are, to be ranked."""
     if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(F.encode(F.col(col), "UTF-8")), 1, 12), 12, "0"), 16, 10).cast("double")
+        return F.col(col)
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(col).cast("timestamp").cast("double")
     return F.col(col).cast("double")
 
 
+def ranks_of(rows: DataFrame, dim: str) -> DataFrame:
+    """Every distinct value of a string column with its place (``_rank``, gapless
+    from 0) in their order: sorted over the cluster, each partition counts on from
+    the sizes of those before it (one row per partition)."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = rows.select(dim).filter(F.col(dim).isNotNull()).distinct()
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # its low 33 bits count within the partition
+    order = (values.repartitionByRange(n, dim).sortWithinPartitions(dim)
+             .select(dim, F.spark_partition_id().alias("_part"), inside.alias("_in"))).checkpoint()
+    before = order.groupBy("_part").agg(F.count("*").alias("_size")).select(
+        "_part", (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    return order.join(F.broadcast(before), "_part").select(dim, (F.col("_before") + F.col("_in")).alias("_rank"))
+
+
 def units_of(rows: DataFrame, dims: list[str], shards: int) -> tuple[DataFrame, DataFrame]:
     """One row per text (or per piece of a hot one): bytes and, for each
     dimension, a key that orders by the metadata and then by a tie hash; and the
     hot texts with their number of pieces, ``shards / PIECE`` rows at most."""
     total = rows.agg(F.sum("size")).first()[0] or 0
     limit = max(1.0, PIECE * total / shards)
-    text = rows.groupBy("_a", "_b").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"), *[F.min(d).alias(d) for d in dims]).withColumn(
+    placed = rows
+    for d in dims:
+        if isinstance(rows.schema[d].dataType, T.StringType):
+            placed = placed.join(ranks_of(rows, d), d, "left").drop(d).withColumnRenamed("_rank", d)
+    text = placed.groupBy("_a", "_b").agg(F.sum("size").alias("_bytes"), F.count("*").alias("_rows"), *[F.min(d).alias(d) for d in dims]).withColumn(
         "_pieces", F.least(F.ceil(F.col("_bytes") / limit), F.col("_rows")).cast("int")).checkpoint()
     span = text.agg(*[f(d).alias(f"{d}_{n}") for d in dims for n, f in (("lo", F.min), ("hi", F.max))]).first()
     rank = []
@@ -175,7 +195,7 @@ def shard(docs: DataFrame, dims: list[str], shards: int, text: str = "text", ide
     rows = docs.select(
         F.col(ident).alias("_id"), (F.octet_length(body) + ROW_BYTES).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
         F.xxhash64(text).alias("_a"), F.hash(text).alias("_b"),
-        *[numeric(d, docs.schema[d].dataType).alias(o) for d, o in zip(dims, own, strict=True)]).checkpoint()
+        *[ordered(d, docs.schema[d].dataType).alias(o) for d, o in zip(dims, own, strict=True)]).checkpoint()
     units, hot = units_of(rows, own, shards)
     units = units.select("_a", "_b", "_piece", grow(units, own, shards).alias("shard"))
     placed = (rows.drop(*own).join(F.broadcast(hot), ["_a", "_b"], "left").withColumn("_piece", piece("_pieces"))

@@ -172,6 +172,47 @@ def test_shards_of_awkward_rows(spark):
     assert kd_shard.shard(docs_of(spark, []).limit(0), ["doc_id"], 4).count() == 0
 
 
+def test_shards_split_by_whole_strings(spark):
+    """Values that share a long prefix: shards are consecutive in the order of the values, as brute force cuts them."""
+    r = random.Random(21)
+    rows = [(i, prose(i, 40)) for i in range(800)]
+    name = {i: f"https://example.org/{'archive/' * 4}{r.choice('abcdefgh')}/é{i % 5}" for i, _ in rows}
+    named = spark.createDataFrame(list(name.items()), "doc_id long, source string")
+    docs = docs_of(spark, rows).join(named, "doc_id")
+    got = kd_shard.shard(docs, ["source"], 8).collect()
+    by_shard = collections.defaultdict(list)
+    for g in got:
+        by_shard[g["shard"]].append((name[g["doc_id"]].encode(), g["size"]))
+    assert sorted(by_shard) == list(range(8))
+    assert all(max(by_shard[i])[0] <= min(by_shard[i + 1])[0] for i in range(7))
+    total = sum(g["size"] for g in got)
+    for i in range(8):  # a cut misses its quantile by one unit or the tolerance at most, per level
+        assert abs(sum(n for _, n in by_shard[i]) - total / 8) <= 4 * max(g["size"] for g in got) + 0.01 * total / 8
+
+
+def test_ranks_of_strings(spark):
+    r = random.Random(22)
+    values = [None, "", "a", "é", "\U0001f600", "z" * 5000] + ["https://x.org/" + "".join(r.choice("ab01") for _ in range(r.randrange(12))) for _ in range(700)]
+    df = spark.createDataFrame([(v,) for v in values * 2], "d string")
+    got = {x["d"]: x["_rank"] for x in kd_shard.ranks_of(df, "d").collect()}
+    assert got == {v: i for i, v in enumerate(sorted({v for v in values if v is not None}, key=str.encode))}
+    assert kd_shard.ranks_of(df.limit(0), "d").count() == 0
+
+
+def test_texts_below_the_bound_are_not_split(spark):
+    rows = [(i, prose(i % 300, 30)) for i in range(1500)] + [(5000 + i, "hot " + prose(1, 25)) for i in range(700)]
+    docs = docs_of(spark, rows, lang=F.concat(F.lit("language-"), F.col("doc_id") % 3), empty=F.lit(None).cast("string"))
+    got = kd_shard.shard(docs, ["lang", "empty"], 4).collect()
+    text, total = dict(rows), sum(g["size"] for g in got)
+    size, where = collections.Counter(), collections.defaultdict(set)
+    for g in got:
+        size[text[g["doc_id"]]] += g["size"]
+        where[text[g["doc_id"]]].add(g["shard"])
+    small = [t for t in size if size[t] <= kd_shard.PIECE * total / 4]
+    assert len(small) >= 290 and all(len(where[t]) == 1 for t in small)
+    assert len(where["hot " + prose(1, 25)]) > 1 and len(got) == len(rows)
+
+
 def test_written_shards_hold_the_documents(spark, tmp_path):
     docs = docs_of(spark, [(i, prose(i, 20)) for i in range(40)]).select("doc_id", "text")
     kd_shard.write_shards(docs, kd_shard.shard(docs, ["doc_id"], 4), str(tmp_path / "shards"))
