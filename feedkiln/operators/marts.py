@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedkiln import schemas
@@ -33,6 +33,27 @@ DEFAULT_LAYERS = {
 }
 
 
+def thread_order(df: DataFrame, post_col: str, time_col: str, id_col: str, out: str = "thread_pos") -> DataFrame:
+    """SRT-2: place (gapless from 0) of every comment of a post in time order,
+    comments and replies of all levels together; ties by id, nulls first.
+
+    The rows are range-partitioned by (post, time, id), so the comments of a hot post lie
+    in many partitions, and are numbered within (post, partition). Only a post that
+    goes on from an earlier partition has a start to add: one row per partition."""
+    keys = [post_col, time_col, id_col]
+    part, at = "_thread_part", "_thread_at"
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the partition of a row is written down: a repeated stage could cut the ranges elsewhere
+    rows = df.repartitionByRange(n, *keys).withColumn(part, F.spark_partition_id()).checkpoint()
+    before = (rows.groupBy(post_col, part).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn(at, F.sum("_n").over(Window.partitionBy(post_col).orderBy(part)) - F.col("_n"))
+              .filter(F.col(at) > 0).select(F.col(post_col).alias("_thread_post"), F.col(part).alias("_thread_of"), at))
+    inside = F.row_number().over(Window.partitionBy(post_col, part).orderBy(time_col, id_col)) - 1
+    numbered = rows.withColumn(out, inside)
+    return (numbered.join(F.broadcast(before), F.col(post_col).eqNullSafe(F.col("_thread_post")) & (F.col(part) == F.col("_thread_of")), "left")
+            .select(*df.columns, (F.col(out) + F.coalesce(F.col(at), F.lit(0))).cast("bigint").alias(out)))
+
+
 def reply_depth(df: DataFrame, id_col: str, parent_col: str) -> DataFrame:
     """JOIN-8: root and depth of every node of a reply forest by pointer
     jumping. Each round joins the unresolved nodes to their ancestors once and

@@ -361,6 +361,11 @@ m as (select source, lang as page_lang from c
       qualify row_number() over (partition by source order by n desc, lang) = 1)
 select d.doc_id, d.source, d.lang, m.page_lang, coalesce(d.lang <> m.page_lang, false) as foreign_language
 from documents d left join m on m.source = d.source
+""",
+    "thread_order": """
+select event_id, event_type,
+       row_number() over (partition by event_type order by ts nulls first, event_id nulls first) - 1 as thread_pos
+from events
 """,
     "reply_hierarchy": """
 with recursive nodes as (

@@ -439,6 +439,13 @@ def q_reply_hierarchy(spark: SparkSession, d: str) -> DataFrame:
     return marts.reply_depth(nodes, "node_id", "parent_id")
 
 
+def q_thread_order(spark: SparkSession, d: str) -> DataFrame:
+    """``events`` as the comments of a few hot threads, one per type, in time order."""
+    session.checkpoint_root(spark)
+    ev = table(spark, d, "events").select("event_type", "ts", "event_id")
+    return marts.thread_order(ev, "event_type", "ts", "event_id").select("event_id", "event_type", "thread_pos")
+
+
 # ---------------------------------------------------------------- reactions / scoring
 
 def _reaction_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -859,6 +866,7 @@ QUERIES = {
     "foreign_language": q_foreign_language,
     "language_detect": q_language_detect,
     "reply_hierarchy": q_reply_hierarchy,
+    "thread_order": q_thread_order,
     "reaction_total": q_reaction_total,
     "reaction_flag": q_reaction_flag,
     "unscored": q_unscored,

@@ -454,3 +454,21 @@ def test_reply_trees_by_increments_equal_a_rebuild(spark):
         key = lambda x: (x.id, x.root_id or "", -1 if x.depth is None else x.depth)
         assert sorted(map(key, stored.collect())) == sorted(map(key, whole.collect()))
     assert stored.count() == len(nodes)
+
+
+def test_thread_order_of_a_hot_post(spark):
+    """One post holds most comments and so lies in several partitions; null keys, ties and repeated rows."""
+    import random
+    r = random.Random(31)
+    data = [("hot" if i % 5 else f"p{i % 40}", T0 + dt.timedelta(minutes=r.randrange(300)), i) for i in range(1500)]
+    data += [(None, T0, 5000), (None, None, 5001), ("hot", None, 5002), ("p0", T0, None), ("p0", T0, 6000), ("p0", T0, 6000)]
+    df = spark.createDataFrame(data, "post string, t timestamp, id long").withColumn("_n", F.lit("x"))
+    got = marts.thread_order(df, "post", "t", "id")
+    assert got.columns == ["post", "t", "id", "_n", "thread_pos"]
+    by_post = {}
+    for p, t, i in data:
+        by_post.setdefault(p, []).append((t is not None, t or T0, i is not None, i or 0))
+    want = sorted((str(p), n, t if has else None, i if known else None)
+                  for p, all_ in by_post.items() for n, (has, t, known, i) in enumerate(sorted(all_)))
+    assert sorted((str(x["post"]), x["thread_pos"], x["t"], x["id"]) for x in got.collect()) == want
+    assert marts.thread_order(df.limit(0), "post", "t", "id").count() == 0
