@@ -755,7 +755,7 @@ def q_counter_rules(spark: SparkSession, d: str) -> DataFrame:
 def q_invisible_chars(spark: SparkSession, d: str) -> DataFrame:
     """CLN-7: zero-width and direction marks put into the texts are gone again."""
     marked = F.replace("text", F.lit("e"), F.lit("e\u200b\u202e\u2066"))
-    return table(spark, d, "documents").select("doc_id", TX.drop_invisible(marked).alias("text"), F.length(marked).alias("n_before"))
+    return spread(table(spark, d, "documents")).select("doc_id", TX.drop_invisible(marked).alias("text"), F.length(marked).alias("n_before"))
 
 
 def q_mojibake_repair(spark: SparkSession, d: str) -> DataFrame:
