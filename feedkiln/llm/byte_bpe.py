@@ -9,7 +9,8 @@ one list and one queue, so a step merges one rank in many pieces at once; a long
 piece takes as many steps as it has merges, never its square.
 
 Defined results: a null or empty text gives no ids; every text decodes to its
-own UTF-8 bytes; text that looks like a special token is ordinary text; columns
+own UTF-8 bytes; text that looks like a special token is ordinary text; a very long
+text is encoded whole; repeated rows give equal rows; an empty table gives none; columns
 other than the id and the text are neither read nor changed.
 """
 

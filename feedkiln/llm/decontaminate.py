@@ -12,6 +12,7 @@ fewer words than the window is one window of its own length; an item without
 words, or with a null id, matches nothing; repeated item ids count once; an
 empty benchmark leaves every document clean; every row of the documents gives
 one row, also if its id is null or repeated and however large the benchmark is;
+a very long text is read whole; an empty table of documents gives no rows;
 document columns other than the id and the text are neither read nor changed, so
 their names cannot clash.
 """

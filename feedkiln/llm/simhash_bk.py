@@ -16,7 +16,7 @@ documents to the driver.
 Defined results: a null, empty or white-space text has fingerprint zero and
 links like any other; equal fingerprints are one tree member, so copies cost
 nothing; rows with one id are one document; a row with a null id links nothing
-and stays; columns other than the id and the text are neither read nor changed.
+and stays; a very long text is read whole; an empty table gives no rows; columns other than the id and the text are neither read nor changed.
 """
 
 from __future__ import annotations

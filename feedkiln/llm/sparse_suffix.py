@@ -19,7 +19,8 @@ join whose hot keys AQE splits.
 Defined results: null texts and texts of fewer than ``min_words`` words hold no
 passage; repeats inside one document count; the first copy (smallest id, then
 place) is kept and later ones are removed; rows with a null id take no part;
-rows with equal ids are documents of their own; other columns aren't read.
+rows with equal ids are documents of their own; a very long text is read whole; an
+empty table gives no rows; other columns aren't read.
 """
 
 from __future__ import annotations

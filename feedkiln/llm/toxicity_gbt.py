@@ -17,8 +17,9 @@ never features.
 Defined results: null and empty texts have all features zero and get the score
 that the trees give to that; without labels, or with one class only, every
 score is the share of toxic labels (0 without any); a document labelled more
-than once counts as toxic if any label says so; columns other than the id and
-the text are not read by the model.
+than once counts as toxic if any label says so; repeated rows and texts that tie in
+all features get equal scores; a very long text is read whole; an empty table gives
+no rows; columns other than the id and the text are not read by the model.
 """
 
 from __future__ import annotations
