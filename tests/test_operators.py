@@ -366,6 +366,18 @@ def test_language_of_every_document(spark):
     assert rows(out, "id", "detected_language") == [(1, "en"), (2, "de"), (3, "en"), (4, "de"), (5, None), (6, None)]
 
 
+def test_grams_of_documents_are_not_shuffled(spark):
+    from feedkiln.operators import language
+    docs = spark.createDataFrame([(1, "the and the and", "en"), (2, "der und die und", "de"), (3, "the the", None), (3, "die", None)],
+                                 "id int, text string, lang string")
+    profile, langs, floors = language.build_profile(docs, docs.filter("id < 3"), "id", "text", "lang")
+    best = language.detect(language.doc_grams(docs, ["id"], "text"), profile, langs, floors, "id")
+    plan = best._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [gram" in plan and plan.count("hashpartitioning(gram") == 1  # that of the profile's own sums
+    out = language.detect_languages(docs, docs.filter("id < 3"), "id", "text", "lang")
+    assert rows(out, "id", "detected_language") == [(1, "en"), (2, "de"), (3, "en"), (3, "en")]  # rows of one id are one text
+
+
 def test_bounds_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([(1, T0), (2, None)], "id int, ts timestamp").write.parquet(str(tmp_path / "e"))
     ev = spark.read.parquet(str(tmp_path / "e"))
