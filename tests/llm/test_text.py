@@ -528,5 +528,5 @@ def test_pipeline_of_empty_tables_and_clashing_columns(spark, tmp_path):
 
 
 def test_every_operator_has_its_query():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(queries.ORACLE) <= set(queries.QUERIES) and len(corpus_pipeline.STAGES) == 5

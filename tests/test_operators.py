@@ -330,7 +330,7 @@ def test_newest_row_wins_whatever_the_order_of_loads(spark, tmp_path):
 
 def test_incremental_model_on_a_stored_table(spark, tmp_path):
     table = _many_days(spark, tmp_path / "t")
-    source = spark.createDataFrame([(1, dt.datetime(2023, 5, 5), "old"), (2, dt.datetime(2024, 2, 2), "fresh")], DAYS)
+    source = spark.createDataFrame([(1, dt.datetime(2023, 2, 5), "old"), (2, dt.datetime(2024, 2, 2), "fresh")], DAYS)
     assert merge.load_incremental(table, source, "t", "t") == 1
     got = {r.k: r.v for r in table.read().collect()}
     assert got[2] == "fresh" and got[1] == "a" and len(got) == 140
