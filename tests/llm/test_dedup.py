@@ -203,6 +203,36 @@ def test_complete_suffix_array(spark):
     assert {next(iter(x)) for x in got.values()} == {k for k, n in runs.items() if n > 1} and depth >= 2
 
 
+def test_runs_are_the_longest_earlier_copies(spark):
+    tail = "\n".join("t%d" % i for i in range(13))
+    rows = [(i, t) for i, t in line_rows() if i is not None and t is not None][:30]
+    rows += [(500, "a\n" + tail), (501, "b\n" + tail), (502, tail + "\nc"), (503, "t3\nt4\nt5\nown"), (504, "z\n" * 21), (505, "z\n" * 6 + "end")]
+    seqs = {i: [x for x in t.split("\n") if re.search(r"[^\x09-\x0D\x20]", x)] for i, t in rows}
+    at = [(i, k) for i in sorted(seqs) for k in range(len(seqs[i]))]
+
+    def common(x, y):
+        pairs = zip(seqs[x[0]][x[1]:], seqs[y[0]][y[1]:], strict=False)
+        return next((n for n, (a, b) in enumerate(pairs) if a != b), min(len(seqs[x[0]]) - x[1], len(seqs[y[0]]) - y[1]))
+    want = {x: n for j, x in enumerate(at) if (n := max((common(x, y) for y in at[:j]), default=0))}
+    found = line_dedup.levels(line_dedup.first_ranks(docs_of(spark, rows)))
+    assert max(want.values()) == 20 and len(found) == 5
+    runs = line_dedup.copied(found)
+    got = [((r["_doc"], r["_i"]), r["_depth"]) for r in runs.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    top = {(r["_doc"], r["_i"]): (r["_from"], r["_end"]) for r in line_dedup.maximal(runs).collect()}
+    reach = {x: max((k + want.get((x[0], k), 0) for k in range(x[1])), default=0) for x in want}
+    assert top == {x: (max(x[1], reach[x]), x[1] + n) for x, n in want.items() if x[1] + n > reach[x]}
+
+
+def test_ranks_are_in_suffix_order(spark):
+    rows = [(i, t) for i, t in line_rows() if i is not None and t is not None][:40]
+    found = line_dedup.levels(line_dedup.first_ranks(docs_of(spark, rows)))
+    line = {(r["_doc"], r["_i"]): r["_rank"] for r in found[0].collect()}
+    for n, ranks in enumerate(found):
+        by_rank = sorted((r["_rank"], [line[r["_doc"], r["_i"] + j] for j in range(1 << n)]) for r in ranks.collect())
+        assert [x for _, x in by_rank] == sorted(x for _, x in by_rank)
+
+
 def test_line_dedup_of_an_empty_table_and_a_hot_line(spark):
     assert line_dedup.dedup_lines(docs_of(spark, []).limit(0)).count() == 0
     rows = [(i, "hot\nhot\nhot\nown %d" % i) for i in range(300)]
